@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
@@ -25,8 +27,11 @@ def incremental_sync(
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
+    # Batch numbers restart with a new checkpoint, so its path is part of the id.
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.merge(f"batch-{batch_id}", batch)
+        table.merge(f"stream-{stream}-{batch_id}", batch)
 
     query = (
         reader.parquet(source)
