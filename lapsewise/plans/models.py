@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel, Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapsewise.sources import scratch_path
+
 VECTOR = "_features"
 
 
@@ -72,7 +74,12 @@ def fit_logistic_regression(
 def _fit(estimator, train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:
     assembler = VectorAssembler(inputCols=list(features), outputCol=VECTOR)
     data = model_input(train, features, label).withColumn(label, F.col(label).cast("double"))
-    return Pipeline(stages=[assembler, estimator]).fit(data)
+    model = Pipeline(stages=[assembler, estimator]).fit(data)
+    # A fresh model carries its training summary, and with that the session and
+    # the training plan, into every scoring task.  The stored copy does not.
+    path = scratch_path(train.sparkSession, "model")
+    save_model(model, path)
+    return load_model(path)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

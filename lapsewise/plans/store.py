@@ -7,12 +7,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.functions import order_value
 from lapsewise.operators import latest_per_key
+from lapsewise.sources import path_exists
 
 LOG_SCHEMA = (
     "sync_id string, state string, row_synced bigint, start_time timestamp, "
@@ -95,10 +95,9 @@ class ServingTable:
     # -- log ---------------------------------------------------------------
 
     def log(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
-        except AnalysisException:
+        if not path_exists(self.spark, f"{self.path}/log"):
             return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
 
     def _append(self, sync_id, state, rows=None, start=None, end=None, message=None) -> None:
         row = self.spark.createDataFrame([(sync_id, state, rows, start, end, message)], LOG_SCHEMA)
@@ -171,20 +170,20 @@ class ServingTable:
     def _publish(self, sync_id: str, table: DataFrame) -> None:
         start = _now()
         self._append(sync_id, "IN_PROGRESS", start=start)
-        seen = Observation()
+        version = f"{self.path}/versions/{sync_id}"
         try:
             # Files with disjoint key ranges let a lookup skip all but one.
             (
                 table.repartitionByRange(self.spec.entity_key)
                 .sortWithinPartitions(self.spec.entity_key)
-                .observe(seen, F.count(F.lit(1)).alias("rows"))
                 .write.mode("overwrite")
-                .parquet(f"{self.path}/versions/{sync_id}")
+                .parquet(version)
             )
+            rows = self.spark.read.parquet(version).count()  # from the file footers
         except Exception as error:
             self._append(sync_id, "ERROR", start=start, end=_now(), message=str(error)[:500])
             raise
-        self._append(sync_id, "COMPLETED", rows=seen.get["rows"], start=start, end=_now())
+        self._append(sync_id, "COMPLETED", rows=rows, start=start, end=_now())
 
     # -- lookups -----------------------------------------------------------
 

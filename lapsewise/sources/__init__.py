@@ -2,11 +2,13 @@
 
 from lapsewise.sources.tables import (
     build_report,
+    path_exists,
     read_split,
     read_table,
     replace_bucketed_table,
     replace_table,
     replace_view,
+    scratch_path,
     stage,
     write_splits,
     write_sidecar,
@@ -27,12 +29,14 @@ __all__ = [
     "customers",
     "date_spine",
     "label_date_spine",
+    "path_exists",
     "read_split",
     "read_table",
     "replace_bucketed_table",
     "replace_table",
     "replace_view",
     "sample_customers",
+    "scratch_path",
     "stage",
     "write_sidecar",
     "write_splits",

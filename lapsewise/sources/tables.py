@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from functools import cache
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +19,17 @@ def _local_stage_dir() -> str:
     return tempfile.mkdtemp(prefix="lapsewise-stage-")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder the cluster names in ``spark.checkpoint.dir``."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or _local_stage_dir()
+    return f"{base.rstrip('/')}/lapsewise/{name}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the cluster's shared checkpoint folder and read it back.
 
@@ -27,11 +37,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     outlives lost executors, and unlike an RDD checkpoint it keeps column
     pruning and filter pushdown for its readers.
     """
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_stage_dir()
-    path = f"{base.rstrip('/')}/lapsewise/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
@@ -91,10 +99,10 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     """One part of a written split; raises ``FileNotFoundError`` when it is missing."""
     if split not in SPLITS:
         raise ValueError(f"unknown split {split!r}")
-    try:
-        return spark.read.parquet(f"{path.rstrip('/')}/split={split}")
-    except AnalysisException as error:
-        raise FileNotFoundError(f"no {split} data under {path}") from error
+    part = f"{path.rstrip('/')}/split={split}"
+    if not path_exists(spark, part):
+        raise FileNotFoundError(f"no {split} data under {path}")
+    return spark.read.parquet(part)
 
 
 def write_sidecar(row: DataFrame, path: str) -> None:
@@ -107,10 +115,7 @@ def build_report(spark: SparkSession, tables: Mapping[str, DataFrame | str | Non
     parts = []
     for name, table in tables.items():
         if isinstance(table, str):
-            try:
-                table = spark.read.parquet(table)
-            except AnalysisException:
-                table = None
+            table = spark.read.parquet(table) if path_exists(spark, table) else None
         if table is None:
             part = spark.range(1).select(
                 F.lit(name).alias("table_name"),
