@@ -29,8 +29,8 @@ class BuildConfig:
     def __post_init__(self) -> None:
         if self.fanout not in ("corrected", "reference"):
             raise ValueError(f"fanout must be 'corrected' or 'reference': {self.fanout!r}")
-        if not 0 < self.short_days <= self.long_days:
-            raise ValueError("windows must satisfy 0 < short_days <= long_days")
+        if not 0 < self.short_days < self.long_days:
+            raise ValueError("windows must satisfy 0 < short_days < long_days")
         if self.step_days < 1 or self.churn_days < 1:
             raise ValueError("step_days and churn_days must be positive")
         if not 0.0 <= self.sample_rate <= 1.0:

@@ -20,7 +20,7 @@ def running_totals(
     above it.  The totals joined back are at most ``buckets`` rows.
     """
     steps = [i / buckets for i in range(1, buckets)]
-    splits = sorted(set(df.approxQuantile(order, steps, 0.25 / buckets)))
+    splits = sorted(set(df.approxQuantile(order, steps, 0.25 / buckets))) if steps else []
     if splits:
         bucketizer = Bucketizer(
             splits=[float("-inf"), *splits, float("inf")], inputCol="_order", outputCol="_piece"
