@@ -19,45 +19,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapsewise.config import BuildConfig
-from lapsewise.functions import (
-    from_cents,
-    lookback_start,
-    midnight,
-    round_half_up,
-    to_cents,
-)
+from lapsewise.functions import from_cents, midnight, round_half_up, to_cents
 
 # Change columns: windowed values (short and long), distinct counts, and the two
 # totals over the whole lookback that the fan-out needs.
-_CHANGES = ("orders_s", "orders_l", "cents_s", "cents_l", "products", "categories", "n_orders", "n_items")
+_RUNNING = ("orders_s", "orders_l", "cents_s", "cents_l", "products", "categories")
+_TOTALS = ("n_orders", "n_items")
+_CHANGES = (*_RUNNING, *_TOTALS)
 
 
-def _change(day, order_day=None, **amounts):
-    """One change row; amounts left out are 0."""
-    order_day = F.lit(None).cast("date") if order_day is None else order_day
-    return F.struct(
-        day.alias("day"),
-        order_day.alias("order_day"),
-        *(F.coalesce(amounts.get(c, F.lit(0)), F.lit(0)).cast("bigint").alias(c) for c in _CHANGES),
-    )
+def _changes(*rows: dict[str, str]) -> str:
+    """SQL that generates change rows; amounts left out are 0.
+
+    Wide rows are written as SQL text: one expression to send and parse instead
+    of hundreds of column objects.
+    """
+
+    def one(row: dict[str, str]) -> str:
+        amounts = (f"CAST({row.get(c, '0')} AS BIGINT) AS {c}" for c in _CHANGES)
+        order_day = row.get("order_day", "CAST(NULL AS DATE)")
+        return f"struct({row['day']} AS day, {order_day} AS order_day, {', '.join(amounts)})"
+
+    return f"inline(array({', '.join(map(one, rows))}))"
 
 
 def order_changes(orders: DataFrame, cfg: BuildConfig) -> DataFrame:
     """Changes to order counts; ``orders(customer_id, order_date)``."""
-    day, n = F.col("order_date"), F.col("n")
     daily = (
-        orders.where(F.col("customer_id").isNotNull() & day.isNotNull())
+        orders.where("customer_id IS NOT NULL AND order_date IS NOT NULL")
         .groupBy("customer_id", "order_date")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return daily.select(
+    day = "order_date"
+    return daily.selectExpr(
         "customer_id",
-        F.inline(
-            F.array(
-                _change(day, order_day=day, orders_s=n, orders_l=n, n_orders=n),
-                _change(F.date_add(day, cfg.short_days), orders_s=-n),
-                _change(F.date_add(day, cfg.long_days), orders_l=-n),
-            )
+        _changes(
+            {"day": day, "order_day": day, "orders_s": "n", "orders_l": "n", "n_orders": "n"},
+            {"day": f"date_add({day}, {cfg.short_days})", "orders_s": "-n"},
+            {"day": f"date_add({day}, {cfg.long_days})", "orders_l": "-n"},
         ),
     )
 
@@ -68,43 +67,31 @@ def item_changes(items: DataFrame, products: DataFrame, cfg: BuildConfig) -> Dat
     ``items(customer_id, product_id, sale_price, order_date)``,
     ``products(id, category)`` with unique ids.
     """
-    day, n = F.col("order_date"), F.col("n")
     # One row per customer, product and day: the map-side combine keeps a hot
     # customer or product from reaching one task as raw rows.
     bought = (
-        items.where(F.col("customer_id").isNotNull() & day.isNotNull())
-        .groupBy("customer_id", "product_id", "order_date")
-        .agg(F.sum(to_cents(F.col("sale_price"))).alias("cents"), F.count(F.lit(1)).alias("n"))
+        items.where("customer_id IS NOT NULL AND order_date IS NOT NULL")
+        .groupBy("customer_id", "product_id", F.col("order_date").alias("day"))
+        .agg(
+            F.coalesce(F.sum(to_cents(F.col("sale_price"))), F.lit(0)).alias("cents"),
+            F.count(F.lit(1)).alias("n_items"),
+        )
     )
-    per_product = Window.partitionBy("customer_id", "product_id").orderBy("order_date")
-    held = bought.withColumn("again", F.lead("order_date").over(per_product))
+    per_product = Window.partitionBy("customer_id", "product_id").orderBy("day")
+    held = bought.withColumn("again", F.lead("day").over(per_product))
     categories = products.select(F.col("id").alias("product_id"), "category")
     held = held.join(categories, "product_id", "left")
 
-    expiry = F.date_add(day, cfg.long_days)
-    one = F.when(F.col("product_id").isNotNull(), 1).otherwise(0)
+    # A product enters on a purchase and leaves at the next one or on expiry.
     by_category = (
-        held.select(
+        held.selectExpr(
             "customer_id",
             "category",
-            F.inline(
-                F.array(
-                    F.struct(
-                        day.alias("day"),
-                        F.col("cents"),
-                        n.alias("n_items"),
-                        one.alias("products"),
-                        F.when(F.col("category").isNotNull(), 1).otherwise(0).alias("seen"),
-                    ),
-                    F.struct(
-                        F.least(F.col("again"), expiry).alias("day"),
-                        F.lit(0).cast("bigint").alias("cents"),
-                        F.lit(0).cast("bigint").alias("n_items"),
-                        (-one).alias("products"),
-                        F.lit(0).alias("seen"),
-                    ),
-                )
-            ),
+            f"""inline(array(
+                struct(day, cents, n_items, int(product_id IS NOT NULL) AS products,
+                       int(category IS NOT NULL) AS seen),
+                struct(least(again, date_add(day, {cfg.long_days})) AS day, 0L AS cents,
+                       0L AS n_items, -int(product_id IS NOT NULL) AS products, 0 AS seen)))""",
         )
         .groupBy("customer_id", "category", "day")
         .agg(
@@ -115,85 +102,72 @@ def item_changes(items: DataFrame, products: DataFrame, cfg: BuildConfig) -> Dat
         )
     )
     # Read backwards, the last purchase day passed is the next one in time.
-    later = (
-        Window.partitionBy("customer_id", "category")
-        .orderBy(F.desc("day"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    by_category = by_category.withColumn(
+        "again",
+        F.expr(
+            """last(CASE WHEN seen = 1 THEN day END, true) OVER (
+               PARTITION BY customer_id, category ORDER BY day DESC
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+        ),
     )
-    seen_on = F.when(F.col("seen") == 1, F.col("day"))
-    by_category = by_category.withColumn("again", F.last(seen_on, ignorenulls=True).over(later))
-
-    day, cents, seen = F.col("day"), F.col("cents"), F.col("seen")
-    expiry = F.date_add(day, cfg.long_days)
-    changes = by_category.select(
+    expiry = f"date_add(day, {cfg.long_days})"
+    changes = by_category.selectExpr(
         "customer_id",
-        F.inline(
-            F.array(
-                _change(
-                    day,
-                    cents_s=cents,
-                    cents_l=cents,
-                    products=F.col("products"),
-                    categories=seen,
-                    n_items=F.col("n_items"),
-                ),
-                _change(F.date_add(day, cfg.short_days), cents_s=-cents),
-                _change(expiry, cents_l=-cents),
-                _change(F.least(F.col("again"), expiry), categories=-seen),
-            )
+        _changes(
+            {
+                "day": "day",
+                "cents_s": "cents",
+                "cents_l": "cents",
+                "products": "products",
+                "categories": "seen",
+                "n_items": "n_items",
+            },
+            {"day": f"date_add(day, {cfg.short_days})", "cents_s": "-cents"},
+            {"day": expiry, "cents_l": "-cents"},
+            {"day": f"least(again, {expiry})", "categories": "-seen"},
         ),
     )
-    return changes.where(_carries_something())
-
-
-def _carries_something():
-    nonzero = F.lit(False)
-    for c in _CHANGES:
-        nonzero = nonzero | (F.col(c) != 0)
-    return nonzero
+    return changes.where(" OR ".join(f"{c} <> 0" for c in _CHANGES))
 
 
 def daily_snapshots(changes: DataFrame, cfg: BuildConfig) -> DataFrame:
     """Feature rows per customer and snapshot day, from the first order day on."""
-    start, end = lookback_start(cfg.as_of, cfg.lookback_months), F.lit(cfg.as_of)
-    in_reach = F.col("day") <= end
-    if cfg.fanout == "reference":
-        # The fan-out counts rows after the last snapshot too.
-        in_reach = in_reach | (F.col("n_orders") > 0) | (F.col("n_items") > 0)
+    reference = cfg.fanout == "reference"
+    end = f"DATE '{cfg.as_of}'"
+    start = f"add_months({end}, {-cfg.lookback_months})"
+    # Changes after the last snapshot matter to the fan-out totals only.
+    in_reach = f"day <= {end}" + (" OR n_orders > 0 OR n_items > 0" if reference else "")
     daily = (
         changes.where(in_reach)
         .groupBy("customer_id", "day")
         .agg(*(F.sum(c).alias(c) for c in _CHANGES), F.max("order_day").alias("order_day"))
     )
 
-    whole = Window.partitionBy("customer_id")
-    ordered = whole.orderBy("day")
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    state = daily.select(
+    whole = "OVER (PARTITION BY customer_id)"
+    ordered = "PARTITION BY customer_id ORDER BY day"
+    so_far = f"OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    state = daily.selectExpr(
         "customer_id",
         "day",
-        F.lead("day").over(ordered).alias("next_day"),
-        F.max("order_day").over(so_far).alias("last_order"),
-        *(F.sum(c).over(so_far).alias(c) for c in _CHANGES[:6]),
-        *(
-            F.sum(c).over(whole).alias(c)
-            for c in (_CHANGES[6:] if cfg.fanout == "reference" else ())
-        ),
-    ).where(F.col("last_order").isNotNull())
-
-    # Each state holds until the day before the next change.
-    step = cfg.step_days
-    state = state.withColumn("low", F.greatest("day", start)).withColumn(
-        "high", F.least(F.date_sub("next_day", 1), end)
-    )
-    if step > 1:
-        behind = F.pmod(F.datediff("low", start), F.lit(step))
-        state = state.withColumn("low", F.date_add("low", F.pmod(step - behind, F.lit(step))))
-    spans = state.where(F.col("low") <= F.col("high"))
-    steps = F.floor(F.datediff("high", "low") / step).cast("int")
-    rows = spans.select("*", F.explode_outer(F.sequence(F.lit(0), steps)).alias("i")).withColumn(
-        "snapshot", F.date_add("low", F.col("i") * step)
+        f"lead(day) OVER ({ordered}) AS next_day",
+        f"max(order_day) {so_far} AS last_order",
+        *(f"sum({c}) {so_far} AS {c}" for c in _RUNNING),
+        *(f"sum({c}) {whole} AS {c}" for c in (_TOTALS if reference else ())),
+    ).where("last_order IS NOT NULL")
+
+    # Each state holds until the day before the next change; its first snapshot
+    # is the first multiple of the step from the start on.
+    low = f"greatest(day, {start})"
+    if cfg.step_days > 1:
+        low = f"date_add({low}, pmod(-datediff({low}, {start}), {cfg.step_days}))"
+    spans = (
+        state.withColumn("low", F.expr(low))
+        .withColumn("high", F.expr(f"least(date_sub(next_day, 1), {end})"))
+        .where("low <= high")
     )
+    rows = spans.selectExpr(
+        "*", f"explode_outer(sequence(0, datediff(high, low) div {cfg.step_days})) AS i"
+    ).withColumn("snapshot", F.expr(f"date_add(low, int(i * {cfg.step_days}))"))
     return rows.select(*_feature_columns(cfg))
 
 
