@@ -103,10 +103,6 @@ class ServingTable:
         row = self.spark.createDataFrame([(sync_id, state, rows, start, end, message)], LOG_SCHEMA)
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
 
-    def completed(self, sync_id: str) -> bool:
-        done = (F.col("sync_id") == sync_id) & (F.col("state") == "COMPLETED")
-        return not self.log().where(done).isEmpty()
-
     def sync_status(self) -> DataFrame:
         """One row on the newest sync: COMPLETED, IN_PROGRESS, ERROR, or NO_SYNC when none ran."""
         # A sync's closing row has an end time and outranks its opening row.
@@ -125,16 +121,19 @@ class ServingTable:
             F.col("last.message").alias("message"),
         )
 
-    def _current(self) -> str | None:
+    def _state(self, sync_id: str | None = None) -> tuple[str | None, bool]:
+        """Path of the current version, and whether ``sync_id`` has completed, in one read."""
         done = self.log().where("state = 'COMPLETED'")
-        newest = done.agg(F.max_by("sync_id", "end_time")).first()[0]
-        return None if newest is None else f"{self.path}/versions/{newest}"
+        newest, repeated = done.agg(
+            F.max_by("sync_id", "end_time"), F.bool_or(F.col("sync_id") == F.lit(sync_id))
+        ).first()
+        return (None if newest is None else f"{self.path}/versions/{newest}"), bool(repeated)
 
     # -- sync --------------------------------------------------------------
 
     def read(self) -> DataFrame:
         """The current serving table."""
-        current = self._current()
+        current, _ = self._state()
         if current is None:
             raise LookupError(f"no completed sync under {self.path}")
         return self.spark.read.parquet(current)
@@ -155,11 +154,11 @@ class ServingTable:
         On equal times the batch wins.  A ``sync_id`` that completed before is
         skipped, so replays are harmless.
         """
-        if self.completed(sync_id):
+        current, repeated = self._state(sync_id)
+        if repeated:
             return
         key, time = self.spec.entity_key, self.spec.time_column
         rows = self.latest(batch).withColumn("_new", F.lit(1))
-        current = self._current()
         if current is not None:
             rows = rows.unionByName(self.spark.read.parquet(current).withColumn("_new", F.lit(0)))
         # One bigint carries time and recency, which keeps the merge a hash aggregate.
