@@ -12,7 +12,7 @@ from lapsewise.operators.horizon import (
 )
 from lapsewise.operators.latest import latest_by_rank, latest_per_key
 from lapsewise.operators.selection import CutPoint, cut_after, nth_smallest
-from lapsewise.operators.trailing import daily_snapshots, item_changes, order_changes
+from lapsewise.operators.trailing import daily_snapshots, item_facts, order_facts
 
 __all__ = [
     "CutPoint",
@@ -21,13 +21,13 @@ __all__ = [
     "cut_after",
     "daily_snapshots",
     "distinct_customers",
-    "item_changes",
+    "item_facts",
     "last_order_to_date",
     "latest_by_rank",
     "latest_per_key",
     "next_order_labels",
     "nth_smallest",
-    "order_changes",
+    "order_facts",
     "order_date_range",
     "order_gaps",
     "running_totals",

@@ -21,48 +21,29 @@ from pyspark.sql import functions as F
 from lapsewise.config import BuildConfig
 from lapsewise.functions import from_cents, midnight, round_half_up, to_cents
 
-# Change columns: windowed values (short and long), distinct counts, and the two
-# totals over the whole lookback that the fan-out needs.
+# Facts of a customer's day: orders, items, revenue, and the net change of the
+# distinct products and categories held.
+_FACTS = ("n_orders", "n_items", "cents", "products", "categories")
+# Running values: windowed orders and revenue (short and long), distinct counts.
 _RUNNING = ("orders_s", "orders_l", "cents_s", "cents_l", "products", "categories")
+# Totals over the whole lookback that the fan-out needs.
 _TOTALS = ("n_orders", "n_items")
-_CHANGES = (*_RUNNING, *_TOTALS)
 
+_KNOWN = "customer_id IS NOT NULL AND order_date IS NOT NULL"
 
-def _changes(*rows: dict[str, str]) -> str:
-    """SQL that generates change rows; amounts left out are 0.
 
-    Wide rows are written as SQL text: one expression to send and parse instead
-    of hundreds of column objects.
-    """
-
-    def one(row: dict[str, str]) -> str:
-        amounts = (f"CAST({row.get(c, '0')} AS BIGINT) AS {c}" for c in _CHANGES)
-        order_day = row.get("order_day", "CAST(NULL AS DATE)")
-        return f"struct({row['day']} AS day, {order_day} AS order_day, {', '.join(amounts)})"
-
-    return f"inline(array({', '.join(map(one, rows))}))"
-
-
-def order_changes(orders: DataFrame, cfg: BuildConfig) -> DataFrame:
-    """Changes to order counts; ``orders(customer_id, order_date)``."""
-    daily = (
-        orders.where("customer_id IS NOT NULL AND order_date IS NOT NULL")
-        .groupBy("customer_id", "order_date")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    day = "order_date"
-    return daily.selectExpr(
+def order_facts(orders: DataFrame) -> DataFrame:
+    """One row per order; ``orders(customer_id, order_date)``."""
+    return orders.where(_KNOWN).selectExpr(
         "customer_id",
-        _changes(
-            {"day": day, "order_day": day, "orders_s": "n", "orders_l": "n", "n_orders": "n"},
-            {"day": f"date_add({day}, {cfg.short_days})", "orders_s": "-n"},
-            {"day": f"date_add({day}, {cfg.long_days})", "orders_l": "-n"},
-        ),
+        "order_date AS day",
+        "1L AS n_orders",
+        *(f"0L AS {c}" for c in _FACTS[1:]),
     )
 
 
-def item_changes(items: DataFrame, products: DataFrame, cfg: BuildConfig) -> DataFrame:
-    """Changes to revenue and distinct counts.
+def item_facts(items: DataFrame, products: DataFrame, cfg: BuildConfig) -> DataFrame:
+    """Revenue, and changes of the distinct counts over the long window.
 
     ``items(customer_id, product_id, sale_price, order_date)``,
     ``products(id, category)`` with unique ids.
@@ -70,7 +51,7 @@ def item_changes(items: DataFrame, products: DataFrame, cfg: BuildConfig) -> Dat
     # One row per customer, product and day: the map-side combine keeps a hot
     # customer or product from reaching one task as raw rows.
     bought = (
-        items.where("customer_id IS NOT NULL AND order_date IS NOT NULL")
+        items.where(_KNOWN)
         .groupBy("customer_id", "product_id", F.col("order_date").alias("day"))
         .agg(
             F.coalesce(F.sum(to_cents(F.col("sale_price"))), F.lit(0)).alias("cents"),
@@ -83,6 +64,8 @@ def item_changes(items: DataFrame, products: DataFrame, cfg: BuildConfig) -> Dat
     held = held.join(categories, "product_id", "left")
 
     # A product enters on a purchase and leaves at the next one or on expiry.
+    # Wide rows are written as SQL text: one expression to send and parse instead
+    # of dozens of column objects.
     by_category = (
         held.selectExpr(
             "customer_id",
@@ -110,43 +93,70 @@ def item_changes(items: DataFrame, products: DataFrame, cfg: BuildConfig) -> Dat
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
         ),
     )
-    expiry = f"date_add(day, {cfg.long_days})"
-    changes = by_category.selectExpr(
+    return by_category.selectExpr(
         "customer_id",
-        _changes(
-            {
-                "day": "day",
-                "cents_s": "cents",
-                "cents_l": "cents",
-                "products": "products",
-                "categories": "seen",
-                "n_items": "n_items",
-            },
-            {"day": f"date_add(day, {cfg.short_days})", "cents_s": "-cents"},
-            {"day": expiry, "cents_l": "-cents"},
-            {"day": f"least(again, {expiry})", "categories": "-seen"},
-        ),
+        f"""inline(array(
+            struct(day, 0L AS n_orders, n_items, cents, products, bigint(seen) AS categories),
+            struct(least(again, date_add(day, {cfg.long_days})) AS day, 0L AS n_orders,
+                   0L AS n_items, 0L AS cents, 0L AS products, bigint(-seen) AS categories)))""",
     )
-    return changes.where(" OR ".join(f"{c} <> 0" for c in _CHANGES))
 
 
-def daily_snapshots(changes: DataFrame, cfg: BuildConfig) -> DataFrame:
+def _expiring(cfg: BuildConfig) -> str:
+    """SQL that turns a day's facts into changes: in on the day, out of each window later."""
+
+    def row(day: str, **values: str) -> str:
+        order_day = values.pop("order_day", "DATE(NULL)")
+        amounts = (f"{values.get(c, '0L')} AS {c}" for c in (*_RUNNING, *_TOTALS))
+        return f"struct({day} AS day, {order_day} AS order_day, {', '.join(amounts)})"
+
+    on_day = row(
+        "day",
+        order_day="order_day",
+        orders_s="n_orders",
+        orders_l="n_orders",
+        cents_s="cents",
+        cents_l="cents",
+        **{c: c for c in ("products", "categories", *_TOTALS)},
+    )
+    out_s = row(f"date_add(day, {cfg.short_days})", orders_s="-n_orders", cents_s="-cents")
+    out_l = row(f"date_add(day, {cfg.long_days})", orders_l="-n_orders", cents_l="-cents")
+    return f"inline(array({on_day}, {out_s}, {out_l}))"
+
+
+def daily_snapshots(facts: DataFrame, cfg: BuildConfig) -> DataFrame:
     """Feature rows per customer and snapshot day, from the first order day on."""
     reference = cfg.fanout == "reference"
     end = f"DATE '{cfg.as_of}'"
     start = f"add_months({end}, {-cfg.lookback_months})"
-    # Changes after the last snapshot matter to the fan-out totals only.
+    # Facts after the last snapshot matter to the fan-out totals only.
     in_reach = f"day <= {end}" + (" OR n_orders > 0 OR n_items > 0" if reference else "")
     daily = (
-        changes.where(in_reach)
+        facts.where(in_reach)
+        .groupBy("customer_id", "day")
+        .agg(
+            *(F.sum(c).alias(c) for c in _FACTS),
+            F.max(F.when(F.col("n_orders") > 0, F.col("day"))).alias("order_day"),
+        )
+    )
+    # At most three rows per customer and day from here on, so the customer alone
+    # can be the partition; the sums per day and the windows below share it.
+    changes = (
+        daily.selectExpr("customer_id", _expiring(cfg))
+        .where(in_reach)
+        .repartition("customer_id")
         .groupBy("customer_id", "day")
-        .agg(*(F.sum(c).alias(c) for c in _CHANGES), F.max("order_day").alias("order_day"))
+        .agg(
+            *(F.sum(c).alias(c) for c in _RUNNING),
+            *(F.sum(c).alias(c) for c in (_TOTALS if reference else ())),
+            F.max("order_day").alias("order_day"),
+        )
     )
 
     whole = "OVER (PARTITION BY customer_id)"
     ordered = "PARTITION BY customer_id ORDER BY day"
     so_far = f"OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    state = daily.selectExpr(
+    state = changes.selectExpr(
         "customer_id",
         "day",
         f"lead(day) OVER ({ordered}) AS next_day",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from lapsewise.config import BuildConfig
-from lapsewise.operators import daily_snapshots, item_changes, order_changes
+from lapsewise.operators import daily_snapshots, item_facts, order_facts
 from lapsewise.sources import completed_order_items, completed_orders
 
 
@@ -16,8 +16,8 @@ def feature_snapshots(
 
     Snapshots run from the lookback start to ``as_of``, every ``step_days``.
     """
-    changes = order_changes(orders_view, cfg).unionByName(item_changes(items_view, products, cfg))
-    return daily_snapshots(changes, cfg)
+    facts = order_facts(orders_view).unionByName(item_facts(items_view, products, cfg))
+    return daily_snapshots(facts, cfg)
 
 
 def features_from_sources(
