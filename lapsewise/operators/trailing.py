@@ -9,8 +9,8 @@ Only the last step expands to one row per day.
 Why this holds for hot customers: raw rows are reduced by map-side aggregation
 before every shuffle, and each window runs over rows already unique per key and
 day, so no group outgrows the calendar.  Distinct counts need no sets: a product
-counts from a purchase until it expires or is bought again, which is one ``+1``
-and one ``-1``.
+enters with a purchase that finds it expired or new, and leaves one window after
+a purchase that no other follows within it.
 """
 
 from __future__ import annotations
@@ -21,9 +21,17 @@ from pyspark.sql import functions as F
 from lapsewise.config import BuildConfig
 from lapsewise.functions import from_cents, midnight, round_half_up, to_cents
 
-# Facts of a customer's day: orders, items, revenue, and the net change of the
-# distinct products and categories held.
-_FACTS = ("n_orders", "n_items", "cents", "products", "categories")
+# Facts of a customer's day: orders, items, revenue, and how many products and
+# categories enter that day, or leave one long window after it.
+_FACTS = (
+    "n_orders",
+    "n_items",
+    "cents",
+    "products_in",
+    "products_out",
+    "categories_in",
+    "categories_out",
+)
 # Running values: windowed orders and revenue (short and long), distinct counts.
 _RUNNING = ("orders_s", "orders_l", "cents_s", "cents_l", "products", "categories")
 # Totals over the whole lookback that the fan-out needs.
@@ -58,47 +66,34 @@ def item_facts(items: DataFrame, products: DataFrame, cfg: BuildConfig) -> DataF
             F.count(F.lit(1)).alias("n_items"),
         )
     )
-    per_product = Window.partitionBy("customer_id", "product_id").orderBy("day")
-    held = bought.withColumn("again", F.lead("day").over(per_product))
+    held = _entering_and_leaving(bought, "products", "product_id", cfg)
     categories = products.select(F.col("id").alias("product_id"), "category")
-    held = held.join(categories, "product_id", "left")
-
-    # A product enters on a purchase and leaves at the next one or on expiry.
-    # Wide rows are written as SQL text: one expression to send and parse instead
-    # of dozens of column objects.
     by_category = (
-        held.selectExpr(
-            "customer_id",
-            "category",
-            f"""inline(array(
-                struct(day, cents, n_items, int(product_id IS NOT NULL) AS products,
-                       int(category IS NOT NULL) AS seen),
-                struct(least(again, date_add(day, {cfg.long_days})) AS day, 0L AS cents,
-                       0L AS n_items, -int(product_id IS NOT NULL) AS products, 0 AS seen)))""",
-        )
+        held.join(categories, "product_id", "left")
         .groupBy("customer_id", "category", "day")
-        .agg(
-            F.sum("cents").alias("cents"),
-            F.sum("n_items").alias("n_items"),
-            F.sum("products").alias("products"),
-            F.max("seen").alias("seen"),
-        )
+        .agg(*(F.sum(c).alias(c) for c in ("cents", "n_items", "products_in", "products_out")))
     )
-    # Read backwards, the last purchase day passed is the next one in time.
-    by_category = by_category.withColumn(
-        "again",
-        F.expr(
-            """last(CASE WHEN seen = 1 THEN day END, true) OVER (
-               PARTITION BY customer_id, category ORDER BY day DESC
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
-        ),
-    )
-    return by_category.selectExpr(
-        "customer_id",
-        f"""inline(array(
-            struct(day, 0L AS n_orders, n_items, cents, products, bigint(seen) AS categories),
-            struct(least(again, date_add(day, {cfg.long_days})) AS day, 0L AS n_orders,
-                   0L AS n_items, 0L AS cents, 0L AS products, bigint(-seen) AS categories)))""",
+    held = _entering_and_leaving(by_category, "categories", "category", cfg)
+    return held.selectExpr("customer_id", "day", "0L AS n_orders", *_FACTS[1:])
+
+
+def _entering_and_leaving(df: DataFrame, name: str, key: str, cfg: BuildConfig) -> DataFrame:
+    """Adds ``<name>_in`` and ``<name>_out`` (0 or 1); ``df`` is unique by customer, key and day."""
+    w = Window.partitionBy("customer_id", key).orderBy("day")
+    window = cfg.long_days
+    return (
+        df.withColumns({"before": F.lag("day").over(w), "again": F.lead("day").over(w)})
+        .withColumns(
+            {
+                f"{name}_in": F.expr(
+                    f"bigint({key} IS NOT NULL AND (before IS NULL OR date_add(before, {window}) <= day))"
+                ),
+                f"{name}_out": F.expr(
+                    f"bigint({key} IS NOT NULL AND (again IS NULL OR again >= date_add(day, {window})))"
+                ),
+            }
+        )
+        .drop("before", "again")
     )
 
 
@@ -117,10 +112,18 @@ def _expiring(cfg: BuildConfig) -> str:
         orders_l="n_orders",
         cents_s="cents",
         cents_l="cents",
-        **{c: c for c in ("products", "categories", *_TOTALS)},
+        products="products_in",
+        categories="categories_in",
+        **{c: c for c in _TOTALS},
     )
     out_s = row(f"date_add(day, {cfg.short_days})", orders_s="-n_orders", cents_s="-cents")
-    out_l = row(f"date_add(day, {cfg.long_days})", orders_l="-n_orders", cents_l="-cents")
+    out_l = row(
+        f"date_add(day, {cfg.long_days})",
+        orders_l="-n_orders",
+        cents_l="-cents",
+        products="-products_out",
+        categories="-categories_out",
+    )
     return f"inline(array({on_day}, {out_s}, {out_l}))"
 
 
