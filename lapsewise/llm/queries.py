@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lapsewise.llm import language_id, quality_compression, simhash
+from lapsewise.llm import byte_bpe, language_id, quality_compression, simhash
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -28,12 +28,17 @@ def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.predict_language(documents, language_id.fit(documents))
 
 
+def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return byte_bpe.digests(byte_bpe.round_trip(_table(spark, sf, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash_near_dedup,
         op2_quality_classifier,
         op3_language_id,
+        op5_byte_bpe,
     )
 }
 
