@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapsewise.llm.common import map_arrow, on_workers, text_bytes, texts
@@ -59,13 +59,15 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number."""
+    """(doc_id, text_hash, fp): the fingerprint as a signed 64-bit number."""
 
     def rows(batch: pa.RecordBatch) -> dict:
         made = np.array([fingerprint(t, shingle) for t in texts(batch)], dtype=np.uint64)
-        return {"doc_id": batch.column("doc_id"), "fp": pa.array(made.view(np.int64))}
+        kept = {c: batch.column(c) for c in ("doc_id", "text_hash")}
+        return {**kept, "fp": pa.array(made.view(np.int64))}
 
-    return map_arrow(documents.select("doc_id", text_bytes()), rows, "doc_id long, fp long")
+    source = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), text_bytes())
+    return map_arrow(source, rows, "doc_id long, text_hash long, fp long")
 
 
 # -- bit-sliced comparison ----------------------------------------------------------
@@ -288,7 +290,11 @@ def hex_digits(fp: str = "fp") -> Column:
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row."""
+    """doc_id, text_hash, fingerprint (16 hex digits) and component_id of every row.
+
+    ``component`` is the component's smallest fingerprint, which tells components
+    apart even where rows of several share a doc_id.
+    """
     prints = stage(fingerprints(documents, shingle), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     root = connected(near_links(distinct.select("fp"), radius))
@@ -297,5 +303,20 @@ def near_duplicates(documents: DataFrame, shingle: int = 3, radius: int = 3) ->
         .select("fp", "first", F.coalesce("root", "fp").alias("root"))
     )
     smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", hex_digits().alias("fingerprint"), "component_id")
+    named = linked.join(smallest, "root").select("fp", "component_id", hex_digits("root").alias("component"))
+    return prints.join(named, "fp").select(
+        "doc_id", "text_hash", hex_digits().alias("fingerprint"), "component_id", "component"
+    )
+
+
+def keep_one(documents: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """One whole row of each component: of those with its smallest doc_id, that with the smallest text hash."""
+    found = near_duplicates(documents, shingle, radius)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    first = found.groupBy("component").agg(F.min(order).alias("first")).select("first.doc_id", "first.text_hash")
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
+    kept = rows.join(
+        first.distinct(), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")), "left_semi"
+    )
+    again = Window.partitionBy("_id", "_hash").orderBy("_hash")
+    return kept.withColumn("_n", F.row_number().over(again)).where("_n = 1").select("row.*")
