@@ -55,20 +55,48 @@ def text_bytes(name: str = "text") -> Column:
     return F.col(name).cast("binary").alias(name)
 
 
+def text_hash() -> Column:
+    """With doc_id, what tells rows apart; rows equal in both are the same document again."""
+    return F.xxhash64(F.col("doc_id").isNull(), F.col("text")).alias("text_hash")
+
+
+def row_key(doc_id: str = "doc_id", hashed: str | None = None) -> list[Column]:
+    """``_id`` and ``_hash``, equal for equal rows and never null: keys of plain equality joins."""
+    known = F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("_id")
+    return [known, (F.col(hashed) if hashed else text_hash()).alias("_hash")]
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """True for the fold that no model learns from; a null id is in it, too."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % FOLDS == 0, F.lit(True))
 
 
+def seeded(key: str, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), F.col(key))
+
+
 def sampled(df: DataFrame, group: str, key: str, n: int, seed: int) -> DataFrame:
     """The ``n`` rows of each group with the smallest seeded hashes of ``key``.
 
-    Spark limits each group within every task before the shuffle, so that a
-    group with a third of all rows sends no more than ``n`` rows a task.
+    Counts by the hashes' first 12 bits, combined before their shuffle, tell the
+    part of each group in which its n-th hash lies, so that only about ``n`` rows
+    of a group, however large, are ranked.  There must be few groups: one row of
+    each is broadcast.
     """
-    order = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key))
-    ranked = df.withColumn("_rank", F.row_number().over(order))
-    return ranked.where(F.col("_rank") <= n).drop("_rank")
+    part = F.shiftrightunsigned(seeded(key, seed), 52)
+    upto = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (
+        df.groupBy(group, part.alias("_part"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+        .where(F.col("_before") < n)
+        .groupBy(group)
+        .agg(F.max("_part").alias("_cut"))
+    )
+    near = df.withColumn("_part", part).join(F.broadcast(cuts), group).where("_part <= _cut")
+    order = Window.partitionBy(group).orderBy(seeded(key, seed), F.col(key))
+    ranked = near.withColumn("_rank", F.row_number().over(order))
+    return ranked.where(F.col("_rank") <= n).select(*df.columns)
 
 
 def labelled_sample(

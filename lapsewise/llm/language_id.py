@@ -11,8 +11,8 @@ Letters are folded to lower case and every other character to a space, so that
 digits, marks and punctuation have no say.  n-grams are told apart by a 64-bit
 code hashed to ``1 << BITS`` buckets; those of no landmark only count for the length.
 
-Learning takes at most ``per_language`` texts a language, none longer than
-``sample_chars``; prediction takes every character of every text.
+Learning takes the ``max_languages`` most frequent languages and at most
+``per_language`` texts of each, ``max_texts`` in all, none longer than ``sample_chars``; prediction takes every character of every text.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letters, and
 for every text when there is nothing to learn from; rows that repeat are predicted
@@ -21,6 +21,7 @@ alike; columns other than doc_id, text and (when learning) lang are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import held_out, map_arrow, sampled
+from lapsewise.llm.common import held_out, map_arrow, on_workers, sampled, seeded, slices
 
 SPECTRUM = 3
 BITS = 17
@@ -98,12 +99,26 @@ class KernelModel:
         return names, scores
 
 
-def _solve(held: np.ndarray, target: np.ndarray, landmarks: np.ndarray, ridge: float):
+#: Of no language: every text is unknown.
+NOTHING = KernelModel((), np.zeros(0, int), np.zeros((0, 0)), np.zeros((0, 0)))
+
+
+def _kernel(texts: list[str], columns: np.ndarray, scaled: np.ndarray) -> np.ndarray:
+    """Kernel values (texts, landmarks), in batches that bound the presences held."""
+    parts = []
+    for at in range(0, len(texts), BATCH):
+        held = [presence(t) for t in texts[at : at + BATCH]]
+        norms = np.sqrt([np.count_nonzero(h) for h in held])
+        parts.append(np.stack([h[columns] for h in held]).astype(np.float32) @ scaled / norms[:, None])
+    return np.concatenate(parts)
+
+
+def _solve(texts: list[str], target: np.ndarray, landmarks: np.ndarray, ridge: float):
     """Columns, scaled landmark matrix and weights of the Nystroem ridge regression."""
-    marks = held[landmarks]
+    marks = np.stack([presence(texts[i]) for i in landmarks])
     columns = np.flatnonzero(marks.any(axis=0))
     scaled = (marks[:, columns] / np.sqrt(marks.sum(axis=1))[:, None]).T.astype(np.float32)
-    kernel = held[:, columns].astype(np.float32) @ scaled / np.sqrt(held.sum(axis=1))[:, None]
+    kernel = _kernel(texts, columns, scaled)
     values, vectors = np.linalg.eigh(kernel[landmarks].astype(np.float64))
     kept = values > 1e-6 * values.max()
     whiten = vectors[:, kept] / np.sqrt(values[kept])
@@ -117,31 +132,39 @@ def fit(
     per_language: int = 400,
     landmarks: int = 50,
     sample_chars: int = 10_000,
+    max_languages: int = 200,
+    max_texts: int = 4000,
     ridge: float = 0.1,
     seed: int = 3,
 ) -> KernelModel:
-    """Learns from at most ``per_language`` texts a language, ``landmarks`` of which are landmarks."""
-    pool = documents.select("doc_id", "text", "lang").where(
-        F.col("lang").isNotNull() & ~held_out() & F.length("text").between(1, sample_chars)
-    )
-    # Rank ids alone; texts follow for the few that are chosen.
-    chosen = sampled(pool.select("doc_id", "lang").distinct(), "lang", "doc_id", per_language, seed)
+    """Learns the ``max_languages`` most frequent languages from at most ``max_texts`` texts,
+    ``per_language`` of a language at most, ``landmarks`` of which are landmarks."""
+    pool = documents.select("doc_id", "lang").where(F.col("lang").isNotNull() & ~held_out())
+    frequent = pool.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    if not frequent:
+        return NOTHING
+    per_language = min(per_language, max_texts // len(frequent))
+    # Ids are ranked alone; texts follow for the few that are chosen.
+    learned = pool.where(F.col("lang").isin([r["lang"] for r in frequent]))
+    chosen = sampled(learned, "lang", "doc_id", per_language, seed).distinct()
     rows = (
-        pool.join(chosen, ["doc_id", "lang"], "left_semi")
+        documents.select("doc_id", "lang", "text")
+        .where(F.length("text").between(1, sample_chars))
+        .join(F.broadcast(chosen), ["doc_id", "lang"])
         .groupBy("doc_id", "lang")
         .agg(F.min("text").alias("text"))
-        .orderBy(F.xxhash64(F.lit(seed), F.col("doc_id")), "doc_id", "lang")
+        .orderBy(seeded("doc_id", seed), "doc_id", "lang")
         .collect()
     )
-    known = [(r["lang"], h) for r in rows if (h := presence(r["text"])) is not None]
+    known = [(r["lang"], r["text"]) for r in rows if presence(r["text"]) is not None]
     languages = tuple(sorted({name for name, _ in known}))
     if not languages:
-        return KernelModel((), np.zeros(0, int), np.zeros((0, 0)), np.zeros((0, 0)))
-    held = np.stack([h for _, h in known])
+        return NOTHING
     names = np.array([languages.index(name) for name, _ in known])
-    first = np.concatenate([np.flatnonzero(names == i)[:landmarks] for i in range(len(languages))])
+    marks = min(landmarks, max(1, 1000 // len(languages)))
+    first = np.concatenate([np.flatnonzero(names == i)[:marks] for i in range(len(languages))])
     target = np.eye(len(languages))[names]
-    columns, scaled, weights = _solve(held, target, first, ridge)
+    columns, scaled, weights = _solve([t for _, t in known], target, first, ridge)
     return KernelModel(languages, columns, scaled, weights)
 
 
@@ -162,3 +185,15 @@ def predict_language(documents: DataFrame, model: KernelModel) -> DataFrame:
         rows,
         "doc_id long, held_out boolean, lang_pred string, score double",
     )
+
+
+def keep_known(documents: DataFrame, model: KernelModel) -> DataFrame:
+    """The whole rows whose text has a language; those that would be ``und`` go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            names, _ = model.predict(batch.column(at).to_pylist())
+            yield batch.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))
+
+    at = documents.columns.index("text")
+    return on_workers(documents).mapInArrow(run, documents.schema)

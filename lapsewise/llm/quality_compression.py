@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import held_out, labelled_sample, map_arrow, text_bytes, texts
+from lapsewise.llm.common import held_out, labelled_sample, map_arrow, seeded, text_bytes, texts
 
 
 @dataclass(frozen=True)
@@ -124,7 +124,7 @@ def fit(
         .join(F.broadcast(sample), "doc_id")
         .groupBy("doc_id", "label")
         .agg(F.min("text").alias("text"))
-        .orderBy(F.xxhash64(F.lit(seed), F.col("doc_id")), "doc_id")
+        .orderBy(seeded("doc_id", seed), "doc_id")
         .collect()
     )
     shares = {
