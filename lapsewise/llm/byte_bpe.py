@@ -122,7 +122,7 @@ class State:
 class Encoder:
     """Encodes pieces; ``max_states`` and ``max_pieces`` bound what is kept between them."""
 
-    def __init__(self, content: bytes, pattern: str, max_states: int = 120_000, max_pieces: int = 200_000):
+    def __init__(self, content: bytes, pattern: str, max_states: int = 250_000, max_pieces: int = 400_000):
         self.merges = Merges(content)
         self.pieces = regex.compile(pattern).findall
         self.max_states, self.max_pieces = max_states, max_pieces
@@ -178,7 +178,7 @@ class Encoder:
         return (*out, *state.live[-1][2])
 
     def _new(self, piece: str) -> tuple[int, ...]:
-        ids = self.older.get(piece)
+        ids = self.known.get(piece) or self.older.get(piece)
         if ids is None:
             ids = self.piece(piece.encode())
             if len(piece) > 64:  # too long to come back
@@ -189,11 +189,10 @@ class Encoder:
         return ids
 
     def encode(self, text: str) -> np.ndarray:
-        known, parts = self.known.get, []
-        for piece in self.pieces(text):
-            parts.append(known(piece) or self._new(piece))
-            if known.__self__ is not self.known:
-                known = self.known.get
+        pieces = self.pieces(text)
+        parts = list(map(self.known.get, pieces))
+        if None in parts:
+            parts = [self._new(piece) if ids is None else ids for piece, ids in zip(pieces, parts)]
         return np.fromiter(chain.from_iterable(parts), np.int32)
 
 

@@ -30,6 +30,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapsewise.llm.common import row_key, text_hash
 from lapsewise.sources import stage
 
 SMALL = 250_000
@@ -66,7 +67,7 @@ def _halves(line: Column) -> Column:
 
 
 def _exploded(documents: DataFrame, min_chars: int) -> DataFrame:
-    lines = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(_lines()).alias("line_no", "line"))
+    lines = documents.select("doc_id", text_hash(), F.posexplode(_lines()).alias("line_no", "line"))
     return lines.where(F.length("line") >= min_chars)
 
 
@@ -168,18 +169,18 @@ def dropped_lines(documents: DataFrame, min_chars: int = 20, max_edits: int = 1,
 
 def _with_dropped(documents: DataFrame, keep: list[Column], dropped: DataFrame) -> DataFrame:
     """``keep`` of every row, and ``dropped`` (null where no line goes)."""
-    rows = documents.select(*keep, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash"))
-    return rows.join(dropped, same, "left")
+    gone = dropped.select(*row_key(hashed="text_hash"), "dropped")
+    return documents.select(*keep, *row_key()).join(gone, ["_id", "_hash"], "left")
 
 
 def line_report(documents: DataFrame, min_chars: int = 20, max_edits: int = 1) -> DataFrame:
     """doc_id, n_lines, n_dropped and the dropped lines' numbers, comma-separated, of every row."""
     n = F.coalesce(F.size(_lines()), F.lit(0)).cast("long")
     count = F.when(F.col("text").isNull(), F.lit(0)).otherwise(n).cast("long").alias("_n")
-    rows = _with_dropped(documents, [count], dropped_lines(documents, min_chars, max_edits))
+    kept = [F.col("doc_id").alias("_doc"), count]
+    rows = _with_dropped(documents, kept, dropped_lines(documents, min_chars, max_edits))
     return rows.select(
-        F.col("_id").alias("doc_id"),
+        F.col("_doc").alias("doc_id"),
         F.col("_n").alias("n_lines"),
         F.coalesce(F.size(F.col("dropped")), F.lit(0)).cast("long").alias("n_dropped"),
         F.coalesce(F.array_join(F.col("dropped").cast("array<string>"), ","), F.lit("")).alias("dropped"),

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import WORD, on_workers, seeded
+from lapsewise.llm.common import WORD, on_workers, row_key, seeded, text_hash
 from lapsewise.sources import stage
 
 #: Documents of one length beyond which their hashes are cut before ranking.
@@ -128,7 +128,7 @@ def mix(
     if not 0 < most <= 2 or share > most:
         raise ValueError("need share <= most <= 2")
     sized = stage(
-        documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "source", n_words().alias("size")), "sizes"
+        documents.select("doc_id", text_hash(), "source", n_words().alias("size")), "sizes"
     )
     lengths = stage(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "lengths")
     sizes = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -168,11 +168,10 @@ def mix(
 
 def take(documents: DataFrame, **options) -> DataFrame:
     """The whole rows of the mix, each as often as it is taken."""
-    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
-    made = mix(documents, **options).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "copies")
+    made = mix(documents, **options).where("copies > 0").select(*row_key(hashed="text_hash"), "copies")
     # Rows that share id and text are told apart by number.
     made = made.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_hash").orderBy(F.desc("copies"))))
+    rows = documents.select(F.struct("*").alias("row"), *row_key())
     rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_id", "_hash").orderBy("_hash")))
-    same = rows["_id"].eqNullSafe(made["_id"]) & (rows["_hash"] == made["_hash"]) & (rows["_n"] == made["_n"])
     copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return rows.join(made, same).select("row", copies).select("row.*")
+    return rows.join(made, ["_id", "_hash", "_n"]).select("row", copies).select("row.*")

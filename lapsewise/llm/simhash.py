@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import map_arrow, on_workers, text_bytes, texts
+from lapsewise.llm.common import map_arrow, on_workers, row_key, text_bytes, text_hash, texts
 from lapsewise.sources import stage
 
 SEED = 42
@@ -66,7 +66,7 @@ def fingerprints(documents: DataFrame, shingle: int = 3) -> DataFrame:
         kept = {c: batch.column(c) for c in ("doc_id", "text_hash")}
         return {**kept, "fp": pa.array(made.view(np.int64))}
 
-    source = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), text_bytes())
+    source = documents.select("doc_id", text_hash(), text_bytes())
     return map_arrow(source, rows, "doc_id long, text_hash long, fp long")
 
 
@@ -314,9 +314,7 @@ def keep_one(documents: DataFrame, shingle: int = 3, radius: int = 3) -> DataFra
     found = near_duplicates(documents, shingle, radius)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     first = found.groupBy("component").agg(F.min(order).alias("first")).select("first.doc_id", "first.text_hash")
-    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
-    kept = rows.join(
-        first.distinct(), F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")), "left_semi"
-    )
+    rows = documents.select(F.struct("*").alias("row"), *row_key())
+    kept = rows.join(first.select(*row_key(hashed="text_hash")), ["_id", "_hash"], "left_semi")
     again = Window.partitionBy("_id", "_hash").orderBy("_hash")
     return kept.withColumn("_n", F.row_number().over(again)).where("_n = 1").select("row.*")
