@@ -1,0 +1,85 @@
+import corpus
+import numpy as np
+from local import frame
+
+from lapsewise.llm import quality_compression as quality
+from lapsewise.llm.common import held_out
+
+MEDIUM = "/root/testdata/sf0.01"
+
+
+def fitted(spark):
+    documents = spark.read.parquet(f"{MEDIUM}/documents.parquet")
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    return documents, labels, quality.fit(documents, labels)
+
+
+def test_held_out_labels(spark):
+    documents, labels, model = fitted(spark)
+    scored = quality.score_quality(documents, model)
+    assert scored.count() == documents.count()
+    rows = scored.where("held_out").join(labels, "doc_id").collect()
+    right = [r["predicted"] == r["quality"] for r in rows]
+    assert len(rows) > 50 and np.mean(right) > 0.93
+    good = [r["score"] for r in rows if r["quality"] == 1]
+    bad = [r["score"] for r in rows if r["quality"] == 0]
+    assert np.mean([g > b for g in good for b in bad]) > 0.95
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
+
+
+def test_scores_do_not_depend_on_other_columns(spark):
+    documents, _, model = fitted(spark)
+    some = documents.where("doc_id < 40")
+    plain = {r["doc_id"]: r["score"] for r in quality.score_quality(some.select("doc_id", "text"), model).collect()}
+    whole = {r["doc_id"]: r["score"] for r in quality.score_quality(some.repartition(7), model).collect()}
+    assert plain == whole
+
+
+def test_awkward_rows(spark):
+    _, _, model = fitted(spark)
+    df = corpus.awkward(spark)
+    rows = quality.score_quality(df, model).collect()
+    assert len(rows) == df.count() and all(0 <= r["score"] <= 1 for r in rows)
+    by = {r["doc_id"]: r["score"] for r in rows}
+    assert by[0] == by[1] > 0.5 and by[5] == by[6]
+    assert [r["held_out"] for r in rows if r["doc_id"] is None] == [True]
+    assert quality.score_quality(corpus.empty(spark), model).count() == 0
+
+
+def test_the_whole_text_counts(spark):
+    _, _, model = fitted(spark)
+    clean = "The and attion to thanedble the anea. Eriner thanea in the reeding of onation. "
+    junk = "IS!! THE!! ERERTION!! OF!! HASHWH!! ANDENANOU!! "
+    scores = model.scores([(clean * 200).encode(), (clean * 200 + junk * 400).encode()])
+    assert scores[1] < scores[0]
+
+
+def test_without_labels_of_both_classes(spark):
+    df = corpus.awkward(spark)
+    for rows in ([], [(2, 1, 0), (3, 1, 0), (4, 1, 0)]):
+        model = quality.fit(df, frame(spark, rows, "doc_id bigint, quality int, toxic int"))
+        scores = {r["score"] for r in quality.score_quality(df, model).collect()}
+        assert len(scores) == 1 and scores.pop() >= 0.5
+
+
+def test_little_text_is_used_raw(spark):
+    rows = corpus.rows([f"some good words {i}" if i % 2 else f"BAD!! WORDS!! {i}" for i in range(40)])
+    labels = frame(spark, [(i, i % 2, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    model = quality.fit(frame(spark, rows, corpus.DDL), labels)
+    good, bad = model.scores([b"some good words 99", b"BAD!! WORDS!! 98"])
+    assert good > bad
+
+
+def test_disagreeing_labels_teach_nothing(spark):
+    rows = [(i, q, 0) for i in range(20) for q in (0, 1)]
+    labels = frame(spark, rows, "doc_id bigint, quality int, toxic int")
+    model = quality.fit(frame(spark, corpus.rows(["word " * 30] * 20), corpus.DDL), labels)
+    assert not model.good
+
+
+def test_folds(spark):
+    import zlib
+
+    df = frame(spark, [(i,) for i in [*range(-5, 200), 1 << 40, None]], "doc_id bigint")
+    for r in df.select("doc_id", held_out().alias("h")).collect():
+        assert r["h"] == (r["doc_id"] is None or zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
