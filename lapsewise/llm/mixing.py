@@ -29,7 +29,7 @@ from lapsewise.llm.common import WORD, on_workers, row_key, seeded, text_hash
 from lapsewise.sources import stage
 
 #: Documents of one length beyond which their hashes are cut before ranking.
-MANY = 4096
+MANY = 256
 
 
 def n_words(text: str = "text") -> Column:
