@@ -50,7 +50,7 @@ SEPARATOR = "|"
 class WordEncoder:
     """Ids of texts as bytes of one integer type, by way of their distinct words."""
 
-    def __init__(self, content: str, end_id: int, words_apart: bool = True, max_words: int = 250_000):
+    def __init__(self, content: str, end_id: int, words_apart: bool = True, max_words: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_padding()
@@ -90,15 +90,20 @@ class WordEncoder:
         if not self.words_apart:
             return [ids + self.end for ids in self._ids([t.decode() for t in data])]
         words = [t.split() for t in data]
-        new = set(chain.from_iterable(words)).difference(self.known)
-        if len(self.known) + len(new) > self.max_words:
-            self.older, self.known = self.known, {}
-            new = set(chain.from_iterable(words))
-        back = new.intersection(self.older)
-        self.known.update((w, self.older[w]) for w in back)
-        self._learn(sorted(new - back))
-        find = self.known.__getitem__
-        return [b"".join(map(find, w)) + self.end for w in words]
+        flat = list(chain.from_iterable(words))
+        parts = list(map(self.known.get, flat))
+        unknown = [i for i, ids in enumerate(parts) if ids is None]
+        if unknown:
+            new = {flat[i] for i in unknown}
+            if len(self.known) + len(new) > self.max_words:
+                self.older, self.known = self.known, {}
+            back = new.intersection(self.older)
+            self.known.update((w, self.older[w]) for w in back)
+            self._learn(sorted(new - back))
+            for i in unknown:
+                parts[i] = self.known[flat[i]]
+        ends = np.cumsum([0, *map(len, words)]).tolist()
+        return [b"".join(parts[a:b]) + self.end for a, b in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=2)
