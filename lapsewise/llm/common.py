@@ -72,7 +72,13 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def seeded(key: str, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.col(key))
+    """A hash of 63 bits that orders rows at random; ``first_bits`` of it keep that order."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 1)
+
+
+def first_bits(key: str, seed: int) -> Column:
+    """The first 12 of the 63 bits."""
+    return F.shiftright(seeded(key, seed), 51)
 
 
 def sampled(df: DataFrame, group: str, key: str, n: int, seed: int) -> DataFrame:
@@ -83,7 +89,7 @@ def sampled(df: DataFrame, group: str, key: str, n: int, seed: int) -> DataFrame
     of a group, however large, are ranked.  There must be few groups: one row of
     each is broadcast.
     """
-    part = F.shiftrightunsigned(seeded(key, seed), 52)
+    part = first_bits(key, seed)
     upto = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     cuts = (
         df.groupBy(group, part.alias("_part"))

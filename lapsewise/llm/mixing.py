@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import WORD, on_workers, row_key, seeded, text_hash
+from lapsewise.llm.common import WORD, first_bits, on_workers, row_key, seeded, text_hash
 from lapsewise.sources import stage
 
 #: Documents of one length beyond which their hashes are cut before ranking.
@@ -143,7 +143,7 @@ def mix(
     same = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.size") == F.col("p.size"))
     rows = sized.alias("d").join(plan.alias("p"), same).select(
         "d.*", "number", "n", "source_size", "target", "once", "extra",
-        F.when(F.col("n") > MANY, F.shiftrightunsigned(seeded("doc_id", seed), 52)).otherwise(0).alias("part"),
+        F.when(F.col("n") > MANY, first_bits("doc_id", seed)).otherwise(0).alias("part"),
     )
     some = rows.where("extra > 0 and extra < n")
     before = Window.partitionBy("number", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
