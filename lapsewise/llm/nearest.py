@@ -193,7 +193,7 @@ def fit(
     tables: int = 4,
     bucket: int = 256,
     width: float = 1.5,
-    recall: float = 0.96,
+    recall: float = 0.985,
     sample: int = 128,
     seed: int = 8,
 ) -> Hashes | None:
