@@ -14,8 +14,8 @@ place differ in that character alone, so each needs only the earliest of them; a
 that equals another's variant meets it directly.  No key lists the pairs of its group.
 Each pair found is verified by edit distance.
 
-A side that is joined by broadcast has its rows counted first (at most ``small``); beyond
-that it is an ordinary join, which adaptive execution splits where it is skewed.
+A side that is joined by broadcast is written and has its rows counted first (at most
+``small``); beyond that it is an ordinary join, which adaptive execution splits where it is skewed.
 
 Defined results: a null text has no lines, an empty one a single empty line; null doc_ids
 come last; rows that share doc_id and text are one document seen twice and decided alike;
@@ -91,15 +91,21 @@ def _distinct(found: DataFrame) -> DataFrame:
     )
 
 
-def _paired(distinct: DataFrame) -> DataFrame:
+def _shared(keyed: DataFrame, on: list[str], small: int) -> DataFrame:
+    """The rows whose key some other line has, too."""
+    lines = (F.min("h1").alias("low"), F.max("h1").alias("high"))
+    shared = stage(keyed.groupBy(*on).agg(*lines).where("low < high").select(*on), "shared-keys")
+    return _joined(keyed, shared, on, "left_semi", small)
+
+
+def _paired(distinct: DataFrame, small: int) -> DataFrame:
     """(h1): lines that share a half with another line."""
     keyed = distinct.select("h1", F.explode(F.array(*(f"half{i}" for i in range(4)))).alias("half"))
-    shared = keyed.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low < high")
-    return keyed.join(shared, "half", "left_semi").select("h1").distinct()
+    return _shared(keyed, ["half"], small).select("h1").distinct()
 
 
 def variants(lines: DataFrame) -> DataFrame:
-    """(v1, v2, at, first) from (line, first): the line itself at 0, and without its character ``at``."""
+    """(v1, v2, at, h1) from (line, h1): the line itself at 0, and without its character ``at``."""
     line = F.col("line")
     without = F.transform(
         F.sequence(F.lit(0), F.length(line)),
@@ -111,21 +117,23 @@ def variants(lines: DataFrame) -> DataFrame:
         ),
     )
     first, second = _two(F.col("made.v"))
-    return lines.select("first", F.explode(without).alias("made")).select(
-        first.alias("v1"), second.alias("v2"), F.col("made.at").alias("at"), "first"
+    return lines.select("h1", F.explode(without).alias("made")).select(
+        first.alias("v1"), second.alias("v2"), F.col("made.at").alias("at"), "h1"
     )
 
 
-def _near(lines: DataFrame) -> DataFrame:
+def _near(lines: DataFrame, small: int) -> DataFrame:
     """(first): lines that have an earlier line within one edit, by their first places."""
-    made = stage(variants(lines), "variants")
+    key = ["v1", "v2"]
+    made = _shared(stage(variants(lines), "variants"), key, small)
+    made = stage(made.join(lines.select("h1", "first"), "h1").drop("h1"), "shared-variants")
     deleted, whole = made.where("at > 0"), made.where("at = 0")
     # Equal but for the character at one place: the earliest stands for all.
-    earliest = deleted.groupBy("v1", "v2", "at").agg(F.min("first").alias("other"), F.count(F.lit(1)).alias("n"))
-    replaced = deleted.join(earliest.where("n > 1"), ["v1", "v2", "at"]).where("other < first").select("first", "other")
+    earliest = deleted.groupBy(*key, "at").agg(F.min("first").alias("other"))
+    replaced = deleted.join(earliest, [*key, "at"]).select("first", "other")
     # A line that is another's variant: at most one line to a variant.
-    center = whole.select("v1", "v2", F.col("first").alias("center"))
-    inserted = deleted.join(center, ["v1", "v2"]).select(
+    center = whole.select(*key, F.col("first").alias("center"))
+    inserted = deleted.join(center, key).select(
         F.greatest("first", "center").alias("first"), F.least("first", "center").alias("other")
     )
     pairs = replaced.union(inserted).where("other < first").distinct()
@@ -148,12 +156,12 @@ def dropped_lines(documents: DataFrame, min_chars: int = 20, max_edits: int = 1,
     distinct = stage(_distinct(found), "distinct-lines")
     again = distinct.where("n > 1").select("h1", "h2", "first")
     if max_edits:
-        paired = stage(_paired(distinct), "paired-lines")
+        paired = stage(_paired(distinct, small), "paired-lines")
         first, second = _two(F.col("line"))
         lines = _exploded(documents, min_chars).select("line", first.alias("h1"), second.alias("h2"))
         lines = _joined(lines, paired, ["h1"], "left_semi", small).groupBy("h1", "h2").agg(F.min("line").alias("line"))
         lines = stage(lines.join(distinct.select("h1", "h2", "first"), ["h1", "h2"]), "compared-lines")
-        near = distinct.join(_near(lines), "first", "left_semi")
+        near = distinct.join(_near(lines, small), "first", "left_semi")
         # No place is before these lines: each of their occurrences goes.
         again = near.select("h1", "h2", F.lit(-1).cast("decimal(38,0)").alias("first")).union(again)
         again = again.groupBy("h1", "h2").agg(F.min("first").alias("first"))
