@@ -50,7 +50,7 @@ SEPARATOR = "|"
 class WordEncoder:
     """Ids of texts as bytes of one integer type, by way of their distinct words."""
 
-    def __init__(self, content: str, end_id: int, words_apart: bool = True, max_words: int = 500_000):
+    def __init__(self, content: str, end_id: int, words_apart: bool = True, max_words: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.no_padding()
@@ -72,9 +72,10 @@ class WordEncoder:
         if self.mark is None:
             self.known.update(zip(words, self._ids([w.decode() for w in words])))
             return
-        alone = [w for w in words if SEPARATOR.encode() in w]
+        mark = SEPARATOR.encode()
+        alone = [w for w in words if mark in w]
         self.known.update(zip(alone, self._ids([w.decode() for w in alone])))
-        words = [w for w in words if SEPARATOR.encode() not in w]
+        words = [w for w in words if mark not in w]
         between = f" {SEPARATOR} "
         for at in range(0, len(words), 1000):
             part = words[at : at + 1000]
@@ -97,9 +98,9 @@ class WordEncoder:
             new = {flat[i] for i in unknown}
             if len(self.known) + len(new) > self.max_words:
                 self.older, self.known = self.known, {}
-            back = new.intersection(self.older)
-            self.known.update((w, self.older[w]) for w in back)
-            self._learn(sorted(new - back))
+            back = {w: ids for w in new if (ids := self.older.get(w)) is not None}
+            self.known.update(back)
+            self._learn([w for w in new if w not in back])
             for i in unknown:
                 parts[i] = self.known[flat[i]]
         ends = np.cumsum([0, *map(len, words)]).tolist()
