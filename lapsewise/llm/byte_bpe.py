@@ -122,7 +122,7 @@ class State:
 class Encoder:
     """Encodes pieces; ``max_states`` and ``max_pieces`` bound what is kept between them."""
 
-    def __init__(self, content: bytes, pattern: str, max_states: int = 140_000, max_pieces: int = 300_000):
+    def __init__(self, content: bytes, pattern: str, max_states: int = 90_000, max_pieces: int = 200_000):
         self.merges = Merges(content)
         self.pieces = regex.compile(pattern).findall
         self.max_states, self.max_pieces = max_states, max_pieces
