@@ -34,6 +34,11 @@ def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf, "documents"), min_chars=20, max_edits=1)
 
 
+def op4_line_dedup_short_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """op4 with an exact part that takes every line that is not blank."""
+    return line_dedup.line_report(_table(spark, sf, "documents"), min_chars=20, max_edits=1, exact_chars=1)
+
+
 def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.round_trip(_table(spark, sf, "documents")))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_quality_classifier,
         op3_language_id,
         op4_line_dedup,
+        op4_line_dedup_short_lines,
         op5_byte_bpe,
         op6_mix_sources,
         op7_url_filters,

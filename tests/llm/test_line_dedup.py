@@ -94,3 +94,14 @@ def test_main_path_has_no_python(spark):
     df = spark.read.parquet(f"{corpus.SMALL}/documents.parquet")
     plan = line_dedup.dedup_lines(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_short_lines_are_dropped_where_equal(spark):
+    """Below ``min_chars``, equal lines go, near ones stay, blank ones stay."""
+    long = "a line that is long enough"
+    texts = [f"Les.\n\n  \n{long}\nNt onor. The of it.", f"Les.\n\n  \n{long}!\nNt onor. The of it.", "Les!\nx", "x\nLes.\nx"]
+    df = frame(spark, corpus.rows(texts), corpus.DDL)
+    got = {r["doc_id"]: r["dropped"] for r in line_dedup.line_report(df, exact_chars=1).collect()}
+    assert got == {0: "", 1: "0,3,4", 2: "", 3: "0,1,2"}
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df, exact_chars=1).collect()}
+    assert kept == {0: texts[0], 1: "\n  ", 2: texts[2]}
