@@ -16,6 +16,11 @@ place differ in that character alone, so each needs only the earliest of them; a
 that equals another's variant meets it directly.  No key lists the pairs of its group.
 Each pair found is verified by edit distance.
 
+Of a line of n > ``WHOLE`` characters, only a piece of about n^(2/3) is varied, once for
+each piece whose surroundings some other line has: all before and after the piece with the
+edit is shared.  Every variant is a row of its own.  So a long line costs n^(4/3) characters
+for each such piece, not n^2, and no row is longer than a line.
+
 A side that is joined by broadcast is written and has its rows counted first (at most
 ``small``); beyond that it is an ordinary join, which adaptive execution splits where it is skewed.
 
@@ -36,6 +41,8 @@ from lapsewise.llm.common import row_key, text_hash
 from lapsewise.sources import stage
 
 SMALL = 250_000
+#: Lines with a partner of at most so many characters are varied as a whole.
+WHOLE = 1000
 
 
 def _lines(text: str = "text") -> Column:
@@ -110,37 +117,68 @@ def _paired(distinct: DataFrame, small: int) -> DataFrame:
     return _shared(keyed, ["half"], small).select("h1").distinct()
 
 
-def variants(lines: DataFrame) -> DataFrame:
-    """(v1, v2, at, h1) from (line, h1): the line itself at 0, and without its character ``at``."""
-    line = F.col("line")
-    without = F.transform(
-        F.sequence(F.lit(0), F.length(line)),
-        lambda at: F.struct(
-            at.alias("at"),
-            F.when(at == 0, line)
-            .otherwise(F.concat(F.substr(line, F.lit(1), at - 1), F.substr(line, at + 1)))
-            .alias("v"),
-        ),
+def _pieces(lines: DataFrame, small: int) -> DataFrame:
+    """(h1, c1, c2, front, back, line): the piece to vary, and how much before and after it is shared.
+
+    ``c1`` and ``c2`` stand for what is shared; they are 0 for a whole line.
+    """
+    n, shorter = F.length("line"), F.col("shorter")
+    whole = lines.where(n <= WHOLE + 1).select(
+        "h1", *(F.lit(0).cast("long").alias(c) for c in ("c1", "c2")), F.lit(0).alias("front"), F.lit(0).alias("back"), "line"
     )
-    first, second = _two(F.col("made.v"))
-    return lines.select("h1", F.explode(without).alias("made")).select(
-        first.alias("v1"), second.alias("v2"), F.col("made.at").alias("at"), "h1"
+    # Cut by the shorter of two lines, like the halves.
+    long = lines.where(n > WHOLE)
+    cut = (
+        long.select("h1", "line", F.explode(F.array(n, n - 1)).alias("shorter"))
+        .where(shorter > WHOLE)
+        .withColumn("size", F.ceil(F.pow(shorter, F.lit(2 / 3))).cast("int"))
+        .withColumn("front", F.explode(F.sequence(F.lit(0), shorter - 1, F.col("size"))))
+        .withColumn("back", F.greatest(F.lit(0), shorter - F.col("front") - F.col("size")))
     )
+    around = [
+        F.substr("line", F.lit(1), F.col("front")),
+        F.substr("line", n - F.col("back") + 1, F.col("back")),
+    ]
+    first, second = _two(shorter, F.col("front"), *around)
+    keyed = cut.select("h1", first.alias("c1"), second.alias("c2"), "front", "back")
+    keyed = stage(keyed, "pieces")
+    shared = stage(_shared(keyed, ["c1", "c2"], small), "shared-pieces").join(long.select("h1", "line"), "h1")
+    return whole.union(shared.select("h1", "c1", "c2", "front", "back", _between().alias("line")))
+
+
+def _between(line: str = "line") -> Column:
+    """What lies between the ``front`` and the ``back`` characters of a line."""
+    return F.substr(line, F.col("front") + 1, F.length(line) - F.col("front") - F.col("back"))
+
+
+def _outside(line: str) -> Column:
+    """The ``front`` first and the ``back`` last characters of a line."""
+    last = F.substr(line, F.length(line) - F.col("back") + 1, F.col("back"))
+    return F.concat(F.substr(line, F.lit(1), F.col("front")), last)
+
+
+def variants(pieces: DataFrame) -> DataFrame:
+    """(v1, v2, at, h1, front, back): each piece itself at 0, and without its character ``at``."""
+    line, at = F.col("line"), F.col("at")
+    spread = pieces.withColumn("at", F.explode(F.sequence(F.lit(0), F.length("line"))))
+    without = F.when(at == 0, line).otherwise(F.concat(F.substr(line, F.lit(1), at - 1), F.substr(line, at + 1)))
+    first, second = _two(without, F.col("c1"), F.col("c2"))
+    return spread.select(first.alias("v1"), second.alias("v2"), "at", "h1", "front", "back")
 
 
 def _near(lines: DataFrame, small: int) -> DataFrame:
     """(first): lines that have an earlier line within one edit, by their first places."""
     key = ["v1", "v2"]
-    made = _shared(stage(variants(lines), "variants"), key, small)
+    made = _shared(stage(variants(_pieces(lines, small)), "variants"), key, small)
     made = stage(made.join(lines.select("h1", "first"), "h1").drop("h1"), "shared-variants")
     deleted, whole = made.where("at > 0"), made.where("at = 0")
     # Equal but for the character at one place: the earliest stands for all.
     earliest = deleted.groupBy(*key, "at").agg(F.min("first").alias("other"))
-    replaced = deleted.join(earliest, [*key, "at"]).select("first", "other")
+    replaced = deleted.join(earliest, [*key, "at"]).select("first", "other", "front", "back")
     # A line that is another's variant: at most one line to a variant.
     center = whole.select(*key, F.col("first").alias("center"))
     inserted = deleted.join(center, key).select(
-        F.greatest("first", "center").alias("first"), F.least("first", "center").alias("other")
+        F.greatest("first", "center").alias("first"), F.least("first", "center").alias("other"), "front", "back"
     )
     pairs = replaced.union(inserted).where("other < first").distinct()
     text = lines.select("first", "line")
@@ -148,7 +186,8 @@ def _near(lines: DataFrame, small: int) -> DataFrame:
     return (
         pairs.join(text, "first")
         .join(other, "other")
-        .where(F.levenshtein("line", "other_line", 1).between(0, 1))
+        .where(_outside("line") == _outside("other_line"))
+        .where(F.levenshtein(_between("line"), _between("other_line"), 1).between(0, 1))
         .select("first")
         .distinct()
     )

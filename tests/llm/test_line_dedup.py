@@ -105,3 +105,18 @@ def test_short_lines_are_dropped_where_equal(spark):
     assert got == {0: "", 1: "0,3,4", 2: "", 3: "0,1,2"}
     kept = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(df, exact_chars=1).collect()}
     assert kept == {0: texts[0], 1: "\n  ", 2: texts[2]}
+
+
+def test_long_lines_one_edit_apart(spark):
+    """Each kind of edit at each end and inside, in lines around and far past the cut into pieces."""
+    draw = random.Random(4)
+    texts, want = [], {}
+    for n in (line_dedup.WHOLE - 1, line_dedup.WHOLE, line_dedup.WHOLE + 1, 5000, 60_000):
+        base = "".join(draw.choices("abcdé ", k=n))
+        edits = [base[:i] + c + base[j:] for i in (0, n // 3, n - 1) for c, j in (("#", i), ("#", i + 1), ("", i + 1))]
+        spoilt = base[: n // 4] + "##" + base[n // 4 + 2 :]
+        for text, dropped in [(base, ""), *((e, "0") for e in edits[: 2 if n > 5000 else 9]), (spoilt[::-1], ""), (spoilt + "zz", "")]:
+            want[len(texts)] = dropped
+            texts.append(text)
+    df = frame(spark, corpus.rows(texts), corpus.DDL)
+    assert {r["doc_id"]: r["dropped"] for r in line_dedup.line_report(df).collect()} == want
