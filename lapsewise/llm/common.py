@@ -105,6 +105,12 @@ def sampled(df: DataFrame, group: str, key: str, n: int, seed: int) -> DataFrame
     return ranked.where(F.col("_rank") <= n).select(*df.columns)
 
 
+def excerpt(data: Column, length: Column, n: int, key: str, seed: int) -> Column:
+    """``data`` if it is at most ``n`` long, else ``n`` in a row of it from a seeded place on."""
+    start = F.pmod(seeded(key, seed), F.greatest(length - n + 1, F.lit(1))) + 1
+    return F.when(length <= n, data).otherwise(F.substr(data, F.coalesce(start, F.lit(1)).cast("int"), F.lit(n)))
+
+
 def labelled_sample(
     labels: DataFrame, column: str, per_class: int, seed: int
 ) -> DataFrame:

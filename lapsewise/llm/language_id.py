@@ -11,8 +11,10 @@ Letters are folded to lower case and every other character to a space, so that
 digits, marks and punctuation have no say.  n-grams are told apart by a 64-bit
 code hashed to ``1 << BITS`` buckets; those of no landmark only count for the length.
 
-Learning takes the ``max_languages`` most frequent languages and at most
-``per_language`` texts of each, ``max_texts`` in all, none longer than ``sample_chars``; prediction takes every character of every text.
+Learning takes every language (or the ``max_languages`` most frequent) and of each at most
+``per_language`` texts with letters, ``max_texts`` in all but one of each language at least; of a
+longer text it takes ``sample_chars`` characters from a seeded place on, or from the first letter
+if there is none in them.  Prediction takes every character of every text.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letters, and
 for every text when there is nothing to learn from; rows that repeat are predicted
@@ -30,13 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import held_out, map_arrow, on_workers, sampled, seeded, slices
+from lapsewise.llm.common import excerpt, held_out, map_arrow, on_workers, sampled, seeded, slices
+from lapsewise.sources import stage
 
 SPECTRUM = 3
 BITS = 17
 SPACE = 32
 UNKNOWN = "und"
 BATCH = 128
+MOST_LANDMARKS = 1000
+LETTER = r"\p{L}"
 
 
 @cache
@@ -132,27 +137,32 @@ def fit(
     per_language: int = 400,
     landmarks: int = 50,
     sample_chars: int = 10_000,
-    max_languages: int = 200,
+    max_languages: int | None = None,
     max_texts: int = 4000,
     ridge: float = 0.1,
     seed: int = 3,
 ) -> KernelModel:
-    """Learns the ``max_languages`` most frequent languages from at most ``max_texts`` texts,
-    ``per_language`` of a language at most, ``landmarks`` of which are landmarks."""
-    pool = documents.select("doc_id", "lang").where(F.col("lang").isNotNull() & ~held_out())
-    frequent = pool.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    """Learns the languages, or the ``max_languages`` most frequent, from at most ``max_texts`` texts
+    (or one a language), ``per_language`` of a language at most, ``landmarks`` of which are landmarks."""
+    usable = F.col("lang").isNotNull() & ~held_out() & F.col("text").rlike(LETTER)
+    pool = stage(documents.where(usable).select("doc_id", "lang"), "language-ids")
+    counts = pool.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    frequent = (counts if max_languages is None else counts.limit(max_languages)).collect()
     if not frequent:
         return NOTHING
-    per_language = min(per_language, max_texts // len(frequent))
+    per_language = max(1, min(per_language, max_texts // len(frequent)))
     # Ids are ranked alone; texts follow for the few that are chosen.
-    learned = pool.where(F.col("lang").isin([r["lang"] for r in frequent]))
+    learned = pool if max_languages is None else pool.where(F.col("lang").isin([r["lang"] for r in frequent]))
     chosen = sampled(learned, "lang", "doc_id", per_language, seed).distinct()
+    text = F.col("text")
+    part = excerpt(text, F.length(text), sample_chars, "doc_id", seed)
+    lettered = F.substr(text, F.regexp_instr(text, F.lit(LETTER)), F.lit(sample_chars))
     rows = (
         documents.select("doc_id", "lang", "text")
-        .where(F.length("text").between(1, sample_chars))
         .join(F.broadcast(chosen), ["doc_id", "lang"])
+        .where(text.rlike(LETTER))
         .groupBy("doc_id", "lang")
-        .agg(F.min("text").alias("text"))
+        .agg(F.min(F.when(part.rlike(LETTER), part).otherwise(lettered)).alias("text"))
         .orderBy(seeded("doc_id", seed), "doc_id", "lang")
         .collect()
     )
@@ -161,8 +171,9 @@ def fit(
     if not languages:
         return NOTHING
     names = np.array([languages.index(name) for name, _ in known])
-    marks = min(landmarks, max(1, 1000 // len(languages)))
+    marks = min(landmarks, max(1, MOST_LANDMARKS // len(languages)))
     first = np.concatenate([np.flatnonzero(names == i)[:marks] for i in range(len(languages))])
+    first = first[:MOST_LANDMARKS]
     target = np.eye(len(languages))[names]
     columns, scaled, weights = _solve([t for _, t in known], target, first, ridge)
     return KernelModel(languages, columns, scaled, weights)
@@ -188,12 +199,19 @@ def predict_language(documents: DataFrame, model: KernelModel) -> DataFrame:
 
 
 def keep_known(documents: DataFrame, model: KernelModel) -> DataFrame:
-    """The whole rows whose text has a language; those that would be ``und`` go."""
+    """The whole rows whose text has a language; those that would be ``und`` go.
+
+    Where there was nothing to learn from, all texts with letters stay.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            names, _ = model.predict(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([name != UNKNOWN for name in names], pa.bool_()))
+            found = batch.column(at).to_pylist()
+            if model.languages:
+                known = [name != UNKNOWN for name in model.predict(found)[0]]
+            else:
+                known = [bool(t) and any(c.isalpha() for c in t) for t in found]
+            yield batch.filter(pa.array(known, pa.bool_()))
 
     at = documents.columns.index("text")
     return on_workers(documents).mapInArrow(run, documents.schema)

@@ -7,8 +7,8 @@ sizes over the length of the text becomes a probability by logistic
 calibration on labelled texts that neither dictionary has seen.
 
 Learning takes a bounded sample of labelled rows (``per_class`` texts a class for
-the dictionaries, ``calibration`` a class for the calibration, none longer than
-``sample_bytes``); scoring takes every piece of every text.
+the dictionaries, ``calibration`` a class for the calibration; of a longer text
+``sample_bytes`` bytes from a seeded place on); scoring takes every piece of every text.
 
 Defined results: a null or empty text has the score of a text like the average
 one; without labels of both classes every score is the smoothed share of good
@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import held_out, labelled_sample, map_arrow, seeded, text_bytes, texts
+from lapsewise.llm.common import excerpt, held_out, labelled_sample, map_arrow, seeded, text_bytes, texts
 
 
 @dataclass(frozen=True)
@@ -116,14 +116,16 @@ def fit(
     dictionary_bytes: int = 110 * 1024,
     seed: int = 2,
 ) -> CompressionModel:
-    """Learns from at most ``2 * (per_class + calibration)`` texts of ``sample_bytes`` bytes or less."""
-    sample = labelled_sample(labels, "quality", per_class + calibration, seed)
+    """Learns from at most ``2 * (per_class + calibration)`` texts, of each ``sample_bytes`` bytes at most."""
+    # Only labels of documents with a text are ranked, so that none takes a place for nothing.
+    written = documents.where(F.octet_length("text") > 0).select("doc_id")
+    sample = labelled_sample(labels.join(written, "doc_id", "left_semi"), "quality", per_class + calibration, seed)
     rows = (
-        documents.select("doc_id", "text")
-        .where(F.octet_length("text").between(1, sample_bytes))
+        documents.select("doc_id", text_bytes())
+        .where(F.octet_length("text") > 0)
         .join(F.broadcast(sample), "doc_id")
         .groupBy("doc_id", "label")
-        .agg(F.min("text").alias("text"))
+        .agg(F.min(excerpt(F.col("text"), F.octet_length("text"), sample_bytes, "doc_id", seed)).alias("text"))
         .orderBy(seeded("doc_id", seed), "doc_id")
         .collect()
     )
@@ -136,7 +138,7 @@ def fit(
     }
     prior = (shares.get(1, 0) + 1) / (sum(shares.values()) + 2)
     odds = float(np.log(prior / (1 - prior)))
-    by = {c: [r["text"].encode() for r in rows if r["label"] == c] for c in (0, 1)}
+    by = {c: [bytes(r["text"]) for r in rows if r["label"] == c] for c in (0, 1)}
     seen = {c: min(per_class, -(-len(t) // 2)) for c, t in by.items()}
     if min(len(t) - seen[c] for c, t in by.items()) < 1:
         return CompressionModel(intercept=odds)

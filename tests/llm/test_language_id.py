@@ -71,3 +71,26 @@ def test_one_language(spark):
     model = language_id.fit(frame(spark, corpus.rows(["some text"] * 9, ["en"] * 9), corpus.DDL))
     assert model.languages == ("en",)
     assert model.predict(["other words", "1"])[0] == ["en", "und"]
+
+
+def test_languages_of_long_texts_are_learned(spark):
+    """Texts past ``sample_chars``, rows without letters and rare languages cost no language its place."""
+    texts = ["good words here " * 1000] * 9 + [None, "", "12 3"] * 99 + [" " * 20_000 + "wörter sind das"] * 9 + ["kratka rec"] * 9
+    langs = ["en"] * 9 + ["en"] * 297 + ["de"] * 9 + ["sl"] * 9
+    model = language_id.fit(frame(spark, corpus.rows(texts, langs), corpus.DDL), per_language=5)
+    assert model.languages == ("de", "en", "sl")
+    assert model.predict(["good words", "wörter sind", "kratka"])[0] == ["en", "de", "sl"]
+
+
+def test_more_languages_than_texts(spark):
+    draw = np.random.default_rng(5)
+    made = ["".join(draw.choice(list("abcdefghij"), 12)) for _ in range(230)]
+    df = frame(spark, corpus.rows(made * 9, [f"l{i:03}" for i in range(230)] * 9), corpus.DDL)
+    model = language_id.fit(df, max_texts=100)
+    assert len(model.languages) == 230
+
+
+def test_texts_with_letters_stay_when_nothing_is_learned(spark):
+    df = corpus.awkward(spark)
+    kept = language_id.keep_known(df, language_id.NOTHING).collect()
+    assert sorted(map(str, kept)) == sorted(str(r) for r in df.collect() if any(c.isalpha() for c in r["text"] or ""))

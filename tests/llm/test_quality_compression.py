@@ -83,3 +83,12 @@ def test_folds(spark):
     df = frame(spark, [(i,) for i in [*range(-5, 200), 1 << 40, None]], "doc_id bigint")
     for r in df.select("doc_id", held_out().alias("h")).collect():
         assert r["h"] == (r["doc_id"] is None or zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_a_class_of_long_texts_teaches(spark):
+    """Texts past ``sample_bytes`` are cut, and labels of no text take no place in the sample."""
+    texts = [f"some good wörds {i} " * 2000 if i % 2 else f"BAD!! WORDS!! {i}" for i in range(40)] + [None, ""] * 300
+    labels = frame(spark, [(i, i % 2, 0) for i in range(1200)], "doc_id bigint, quality int, toxic int")
+    model = quality.fit(frame(spark, corpus.rows(texts), corpus.DDL), labels, per_class=10, calibration=10)
+    good, bad = model.scores([b"some good words 99", b"BAD!! WORDS!! 98"])
+    assert good > bad
