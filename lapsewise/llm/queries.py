@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import byte_bpe, language_id, line_dedup, mixing, nearest, quality_compression, quality_rules, simhash, token_files, url_filters
+from lapsewise.llm import byte_bpe, language_id, line_dedup, mixing, nearest, quality_compression, quality_rules, simhash, token_files, url_filters, whitening
 from lapsewise.sources import scratch_path
 
 
@@ -69,6 +69,10 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judge(documents, trees)
 
 
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitening_report(_table(spark, sf, "embeddings"), k=16)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_nearest_neighbours,
         op9_token_files,
         op10_quality_rules,
+        op11_embedding_whitening,
     )
 }
 
