@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import byte_bpe, language_id, line_dedup, mixing, nearest, quality_compression, quality_rules, simhash, token_files, url_filters, whitening
+from lapsewise.llm import byte_bpe, language_id, line_dedup, mixing, nearest, quality_compression, quality_rules, simhash, spelling, token_files, url_filters, whitening
 from lapsewise.sources import scratch_path
 
 
@@ -73,6 +73,11 @@ def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whitening_report(_table(spark, sf, "embeddings"), k=16)
 
 
+def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    return spelling.variant_groups(documents, min_length=6, min_count=5, factor=5, every=199)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_files,
         op10_quality_rules,
         op11_embedding_whitening,
+        op13_spelling_variants,
     )
 }
 
