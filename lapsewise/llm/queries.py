@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import byte_bpe, language_id, line_dedup, mixing, nearest, quality_compression, quality_rules, simhash, spelling, token_files, url_filters, whitening
+from lapsewise.llm import byte_bpe, chosen_path, language_id, line_dedup, mixing, nearest, quality_compression, quality_rules, simhash, spelling, token_files, url_filters, whitening
 from lapsewise.sources import scratch_path
 
 
@@ -73,6 +73,11 @@ def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
     return whitening.whitening_report(_table(spark, sf, "embeddings"), k=16)
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    documents = _table(spark, sf, "documents")
+    return chosen_path.near_duplicates(documents, shingle=3, threshold=0.85, recall=1 - 1e-6)
+
+
 def op13_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents")
     return spelling.variant_groups(documents, min_length=6, min_count=5, factor=5, every=199)
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_files,
         op10_quality_rules,
         op11_embedding_whitening,
+        op12_minhash_near_dedup,
         op13_spelling_variants,
     )
 }
@@ -183,4 +189,33 @@ FROM captures c LEFT JOIN active a
   ON c.page_id IS NOT DISTINCT FROM a.page_id AND c.url IS NOT DISTINCT FROM a.url
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": _LINES_SQL, "op7_url_filters": _URLS_SQL}
+#: Shared shingles counted for every two sets that have one, and what each set reaches.
+_SIMILAR_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, hash(text) AS text_hash, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s
+  FROM docs),
+keyed AS (SELECT doc_id, len(s) AS n, s, CASE WHEN len(s) > 0 THEN md5(array_to_string(s, chr(10))) END AS k FROM sets),
+kinds AS (SELECT k, any_value(n) AS n, any_value(s) AS s, min(doc_id) AS first FROM keyed WHERE n > 0 GROUP BY k),
+tokens AS (SELECT k, n, unnest(s) AS t FROM kinds),
+links AS (
+  SELECT a.k AS a, b.k AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.k < b.k
+  WHERE 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT k AS a, k AS b FROM kinds UNION SELECT r.a, e.b FROM reached r JOIN edges e ON r.b = e.a),
+named AS (SELECT r.a AS k, min(d.first) AS component_id FROM reached r JOIN kinds d ON d.k = r.b GROUP BY r.a)
+SELECT d.doc_id, CAST(d.n AS BIGINT) AS n_shingles, CASE WHEN d.n > 0 THEN c.component_id ELSE d.doc_id END AS component_id,
+       d.doc_id IS NOT DISTINCT FROM (CASE WHEN d.n > 0 THEN c.component_id ELSE d.doc_id END) AS kept
+FROM keyed d LEFT JOIN named c ON d.k = c.k
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": _LINES_SQL,
+    "op7_url_filters": _URLS_SQL,
+    "op12_minhash_near_dedup": _SIMILAR_SQL,
+}
