@@ -13,6 +13,7 @@ from lapsewise.sources.tables import (
     write_splits,
     write_sidecar,
 )
+from lapsewise.sources.versions import CommitConflict, VersionedTable, open_table
 from lapsewise.sources.views import (
     completed_order_items,
     completed_orders,
@@ -23,12 +24,15 @@ from lapsewise.sources.views import (
 )
 
 __all__ = [
+    "CommitConflict",
+    "VersionedTable",
     "build_report",
     "completed_order_items",
     "completed_orders",
     "customers",
     "date_spine",
     "label_date_spine",
+    "open_table",
     "path_exists",
     "read_split",
     "read_table",

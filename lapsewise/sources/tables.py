@@ -10,6 +10,8 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapsewise.sources.versions import VersionedTable, is_versioned, open_table
+
 SPLITS = ("train", "valid", "test")
 
 
@@ -19,10 +21,30 @@ def _local_stage_dir() -> str:
     return tempfile.mkdtemp(prefix="lapsewise-stage-")
 
 
+@cache
+def _application_dir(base: str, application: str) -> str:
+    """One folder an application, removed when its session ends."""
+    spark = SparkSession.active()
+    folder = f"{base.rstrip('/')}/lapsewise/{application}"
+    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(location)
+    files.deleteOnExit(location)
+    return folder
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder the cluster names in ``spark.checkpoint.dir``."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _local_stage_dir()
-    return f"{base.rstrip('/')}/lapsewise/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a session on this machine alone may do without that setting.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("executors on other machines need a shared folder: set spark.checkpoint.dir")
+        base = _local_stage_dir()
+    return f"{_application_dir(base, spark.sparkContext.applicationId)}/{name}-{uuid.uuid4().hex}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -44,7 +66,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
     """The whole table at ``path``; raises when required columns are missing."""
-    df = spark.read.parquet(path)
+    df = open_table(spark, path)
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns in {path}: {missing}")
@@ -63,19 +85,8 @@ def replace_table(
     order_by: Sequence[str] = (),
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Rebuild the Parquet table at ``path``.
-
-    ``order_by`` range-partitions and sorts, so that files hold disjoint key
-    ranges and their statistics prune later reads.
-    """
-    if order_by:
-        keys = [*partition_by, *order_by]
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Rebuild the table at ``path`` in one step: see ``VersionedTable.replace``."""
+    return VersionedTable(df.sparkSession, path).replace(df, order_by, partition_by)
 
 
 def replace_bucketed_table(
@@ -91,16 +102,18 @@ def replace_bucketed_table(
 
 
 def write_splits(df: DataFrame, path: str) -> None:
-    """Write the train, valid and test parts, told apart by the ``split`` column."""
-    df.write.mode("overwrite").partitionBy("split").parquet(path)
+    """Write the train, valid and test parts, told apart by the ``split`` column, in one step."""
+    VersionedTable(df.sparkSession, path).replace(df, partition_by=["split"])
 
 
 def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     """One part of a written split; raises ``FileNotFoundError`` when it is missing."""
     if split not in SPLITS:
         raise ValueError(f"unknown split {split!r}")
-    part = f"{path.rstrip('/')}/split={split}"
-    if not path_exists(spark, part):
+    table = VersionedTable(spark, path)
+    version = table.version()
+    part = None if version is None else f"{table.path}/{version.parts[0]['path']}/split={split}"
+    if part is None or not path_exists(spark, part):
         raise FileNotFoundError(f"no {split} data under {path}")
     return spark.read.parquet(part)
 
@@ -115,7 +128,8 @@ def build_report(spark: SparkSession, tables: Mapping[str, DataFrame | str | Non
     parts = []
     for name, table in tables.items():
         if isinstance(table, str):
-            table = spark.read.parquet(table) if path_exists(spark, table) else None
+            known = is_versioned(spark, table) or path_exists(spark, table)
+            table = open_table(spark, table) if known else None
         if table is None:
             part = spark.range(1).select(
                 F.lit(name).alias("table_name"),

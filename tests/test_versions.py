@@ -1,0 +1,123 @@
+import threading
+
+import pytest
+from local import frame
+
+from lapsewise.sources import build_report, open_table, replace_table
+from lapsewise.sources.versions import CommitConflict, VersionedTable
+
+DDL = "id bigint, v string"
+
+
+def made(spark, *values):
+    return frame(spark, [(i, v) for i, v in enumerate(values)], DDL)
+
+
+def values(df):
+    return sorted(r["v"] for r in df.collect())
+
+
+def test_versions_follow_each_other(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.version() is None and table.numbers() == []
+    with pytest.raises(LookupError):
+        table.read()
+    assert values(table.replace(made(spark, "a", "b"))) == ["a", "b"]
+    assert values(table.replace(made(spark, "c"), notes={"why": "test"})) == ["c"]
+    assert table.numbers() == [1, 2] and table.version().notes == {"why": "test"}
+    assert values(table.read(1)) == ["a", "b"] and values(table.read()) == ["c"]
+    with pytest.raises(LookupError):
+        table.read(7)
+    # What is written may come from what it replaces.
+    assert values(table.replace(table.read().union(table.read(1)))) == ["a", "b", "c"]
+
+
+def test_failed_write_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(made(spark, *"abcdefgh"), path)
+    broken = made(spark, *"ijklmnop").repartition(4).selectExpr("id", "IF(id = 5, raise_error('midway'), v) AS v")
+    with pytest.raises(Exception, match="midway"):
+        replace_table(broken, path)
+    assert values(open_table(spark, path)) == list("abcdefgh")
+    assert VersionedTable(spark, path).numbers() == [1]
+
+
+def test_death_between_data_and_commit(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(made(spark, "a"))
+    lost = table.write(made(spark, "b"))
+    table.folder.write("_draft-left", "{")
+    assert values(table.read()) == ["a"]
+    assert table.expire(unnamed_seconds=3600) == []  # it might still be written
+    assert table.expire(unnamed_seconds=0) == [lost]
+    assert values(table.read()) == ["a"]
+
+
+def test_reader_of_the_old_version_finishes(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    opened = table.replace(made(spark, "a", "b"))
+    table.replace(made(spark, "c"))
+    assert values(opened) == ["a", "b"]
+    with table.pinned(1) as held:
+        table.replace(made(spark, "d"))
+        assert len(table.expire(keep=1, unnamed_seconds=0)) == 1  # the second
+        assert table.numbers() == [1, 3]
+        assert values(held) == ["a", "b"]
+    assert len(table.expire(keep=1)) == 1
+    assert table.numbers() == [3] and values(table.read()) == ["d"]
+
+
+def test_pins_of_the_dead_run_out(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(made(spark, "a"))
+    table.folder.write("_pins/1-dead", "")
+    table.replace(made(spark, "b"))
+    assert table.expire(keep=1) == []
+    assert len(table.expire(keep=1, pin_seconds=-1)) == 1
+
+
+def test_one_of_two_writers_is_refused(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(made(spark, "a"))
+    base = table.version()
+    parts = [{"path": table.write(made(spark, v))} for v in "bc"]
+    table.commit(base, [parts[0]], base.schema)
+    with pytest.raises(CommitConflict):
+        table.commit(base, [parts[1]], base.schema)
+    assert values(table.read()) == ["b"]
+    assert not [n for n, _ in table.folder.names() if n.startswith("_draft")]
+
+
+def test_many_replace_at_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    threads = [threading.Thread(target=replace_table, args=(made(spark, v * 3), path)) for v in "abcdef"]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    table = VersionedTable(spark, path)
+    assert table.numbers() == [1, 2, 3, 4, 5, 6]
+    assert sorted(values(table.read(n))[0] for n in table.numbers()) == [v * 3 for v in "abcdef"]
+
+
+def test_order_partitions_and_schema_changes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    many = spark.range(1000).selectExpr("999 - id AS id", "CAST(id % 3 AS STRING) AS v")
+    table = replace_table(many, path, order_by=["id"], partition_by=["v"])
+    assert sorted(table.columns) == ["id", "v"] and table.count() == 1000
+    assert table.where("v = '1'").count() == 333
+    other = replace_table(many.selectExpr("id", "id * 2 AS twice"), path)
+    assert other.columns == ["id", "twice"] and open_table(spark, path).columns == ["id", "twice"]
+
+
+def test_empty_table_and_report(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert replace_table(made(spark), path).count() == 0
+    plain = str(tmp_path / "plain")
+    made(spark, "a").write.parquet(plain)
+    report = build_report(spark, {"t": path, "plain": plain, "none": str(tmp_path / "none")})
+    assert {r["table_name"]: (r["num_rows"], r["status"]) for r in report.collect()} == {
+        "t": (0, "present"),
+        "plain": (1, "present"),
+        "none": (None, "absent"),
+    }
