@@ -23,7 +23,7 @@ from lapsewise.functions import from_cents, midnight, round_half_up, to_cents
 
 # Facts of a customer's day: orders, items, revenue, and how many products and
 # categories enter that day, or leave one long window after it.
-_FACTS = (
+FACTS = (
     "n_orders",
     "n_items",
     "cents",
@@ -33,7 +33,7 @@ _FACTS = (
     "categories_out",
 )
 # Running values: windowed orders and revenue (short and long), distinct counts.
-_RUNNING = ("orders_s", "orders_l", "cents_s", "cents_l", "products", "categories")
+RUNNING = ("orders_s", "orders_l", "cents_s", "cents_l", "products", "categories")
 # Totals over the whole lookback that the fan-out needs.
 _TOTALS = ("n_orders", "n_items")
 
@@ -46,7 +46,7 @@ def order_facts(orders: DataFrame) -> DataFrame:
         "customer_id",
         "order_date AS day",
         "1L AS n_orders",
-        *(f"0L AS {c}" for c in _FACTS[1:]),
+        *(f"0L AS {c}" for c in FACTS[1:]),
     )
 
 
@@ -66,18 +66,18 @@ def item_facts(items: DataFrame, products: DataFrame, cfg: BuildConfig) -> DataF
             F.count(F.lit(1)).alias("n_items"),
         )
     )
-    held = _entering_and_leaving(bought, "products", "product_id", cfg)
+    held = entering_and_leaving(bought, "products", "product_id", cfg)
     categories = products.select(F.col("id").alias("product_id"), "category")
     by_category = (
         held.join(categories, "product_id", "left")
         .groupBy("customer_id", "category", "day")
         .agg(*(F.sum(c).alias(c) for c in ("cents", "n_items", "products_in", "products_out")))
     )
-    held = _entering_and_leaving(by_category, "categories", "category", cfg)
-    return held.selectExpr("customer_id", "day", "0L AS n_orders", *_FACTS[1:])
+    held = entering_and_leaving(by_category, "categories", "category", cfg)
+    return held.selectExpr("customer_id", "day", "0L AS n_orders", *FACTS[1:])
 
 
-def _entering_and_leaving(df: DataFrame, name: str, key: str, cfg: BuildConfig) -> DataFrame:
+def entering_and_leaving(df: DataFrame, name: str, key: str, cfg: BuildConfig) -> DataFrame:
     """Adds ``<name>_in`` and ``<name>_out`` (0 or 1); ``df`` is unique by customer, key and day."""
     w = Window.partitionBy("customer_id", key).orderBy("day")
     window = cfg.long_days
@@ -102,7 +102,7 @@ def _expiring(cfg: BuildConfig) -> str:
 
     def row(day: str, **values: str) -> str:
         order_day = values.pop("order_day", "DATE(NULL)")
-        amounts = (f"{values.get(c, '0L')} AS {c}" for c in (*_RUNNING, *_TOTALS))
+        amounts = (f"{values.get(c, '0L')} AS {c}" for c in (*RUNNING, *_TOTALS))
         return f"struct({day} AS day, {order_day} AS order_day, {', '.join(amounts)})"
 
     on_day = row(
@@ -127,35 +127,41 @@ def _expiring(cfg: BuildConfig) -> str:
     return f"inline(array({on_day}, {out_s}, {out_l}))"
 
 
-def daily_snapshots(facts: DataFrame, cfg: BuildConfig) -> DataFrame:
-    """Feature rows per customer and snapshot day, from the first order day on."""
-    reference = cfg.fanout == "reference"
-    end = f"DATE '{cfg.as_of}'"
-    start = f"add_months({end}, {-cfg.lookback_months})"
-    # Facts after the last snapshot matter to the fan-out totals only.
-    in_reach = f"day <= {end}" + (" OR n_orders > 0 OR n_items > 0" if reference else "")
+def daily_changes(facts: DataFrame, cfg: BuildConfig, in_reach: str = "true") -> DataFrame:
+    """Signed changes of the running values, one row per customer and day.
+
+    ``in_reach`` is a condition on the day, and in fan-out mode on the totals.
+    """
+    totals = _TOTALS if cfg.fanout == "reference" else ()
     daily = (
         facts.where(in_reach)
         .groupBy("customer_id", "day")
         .agg(
-            *(F.sum(c).alias(c) for c in _FACTS),
+            *(F.sum(c).alias(c) for c in FACTS),
             F.max(F.when(F.col("n_orders") > 0, F.col("day"))).alias("order_day"),
         )
     )
     # At most three rows per customer and day from here on, so the customer alone
     # can be the partition; the sums per day and the windows below share it.
-    changes = (
+    return (
         daily.selectExpr("customer_id", _expiring(cfg))
         .where(in_reach)
         .repartition("customer_id")
         .groupBy("customer_id", "day")
         .agg(
-            *(F.sum(c).alias(c) for c in _RUNNING),
-            *(F.sum(c).alias(c) for c in (_TOTALS if reference else ())),
+            *(F.sum(c).alias(c) for c in RUNNING),
+            *(F.sum(c).alias(c) for c in totals),
             F.max("order_day").alias("order_day"),
         )
     )
 
+
+def snapshots_between(changes: DataFrame, cfg: BuildConfig, start: str, end: str) -> DataFrame:
+    """Feature rows per customer and snapshot day, from the first order day on.
+
+    ``start`` and ``end`` are SQL dates; the snapshots lie every ``step_days`` from the start on.
+    """
+    totals = _TOTALS if cfg.fanout == "reference" else ()
     whole = "OVER (PARTITION BY customer_id)"
     ordered = "PARTITION BY customer_id ORDER BY day"
     so_far = f"OVER ({ordered} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
@@ -164,8 +170,8 @@ def daily_snapshots(facts: DataFrame, cfg: BuildConfig) -> DataFrame:
         "day",
         f"lead(day) OVER ({ordered}) AS next_day",
         f"max(order_day) {so_far} AS last_order",
-        *(f"sum({c}) {so_far} AS {c}" for c in _RUNNING),
-        *(f"sum({c}) {whole} AS {c}" for c in (_TOTALS if reference else ())),
+        *(f"sum({c}) {so_far} AS {c}" for c in RUNNING),
+        *(f"sum({c}) {whole} AS {c}" for c in totals),
     ).where("last_order IS NOT NULL")
 
     # Each state holds until the day before the next change; its first snapshot
@@ -184,6 +190,15 @@ def daily_snapshots(facts: DataFrame, cfg: BuildConfig) -> DataFrame:
     return rows.select(*_feature_columns(cfg))
 
 
+def daily_snapshots(facts: DataFrame, cfg: BuildConfig) -> DataFrame:
+    """Feature rows per customer and snapshot day of the lookback, from the first order day on."""
+    end = f"DATE '{cfg.as_of}'"
+    start = f"add_months({end}, {-cfg.lookback_months})"
+    # Facts after the last snapshot matter to the fan-out totals only.
+    in_reach = f"day <= {end}" + (" OR n_orders > 0 OR n_items > 0" if cfg.fanout == "reference" else "")
+    return snapshots_between(daily_changes(facts, cfg, in_reach), cfg, start, end)
+
+
 def _feature_columns(cfg: BuildConfig):
     orders_s, orders_l = F.col("orders_s"), F.col("orders_l")
     cents_s, cents_l = F.col("cents_s"), F.col("cents_l")

@@ -19,7 +19,7 @@ from pyspark.sql.types import ArrayType, IntegralType
 
 from lapsewise.functions import order_value
 from lapsewise.operators import latest_per_key
-from lapsewise.sources.versions import CommitConflict, Folder, Version, VersionedTable
+from lapsewise.sources.versions import CommitConflict, Folder, Version, VersionedTable, sequence_of
 
 LOG_SCHEMA = (
     "sync_id string, state string, row_synced bigint, start_time timestamp, "
@@ -250,7 +250,7 @@ class ServingTable:
         On equal times the batch wins.  ``sync_id`` is a stream's name and a number that
         grows (``name-7``); a number that completed before is skipped, so replays are harmless.
         """
-        stream, number = _numbered(sync_id)
+        stream, number = sequence_of(sync_id)
         before = self.table.version()
         if before is not None and before.notes["streams"].get(stream, -1) >= number:
             return
@@ -381,12 +381,6 @@ class ServingTable:
         return fetch_many(self.read(), keys, self.spec, names)
 
 
-def _numbered(sync_id: str) -> tuple[str, int]:
-    """A stream's name and number; an id without a number is a stream of its own."""
-    stream, _, number = sync_id.rpartition("-")
-    return (stream, int(number)) if stream and number.isdecimal() else (sync_id, 0)
-
-
 def fetch_many(
     table: DataFrame, keys: DataFrame, spec: FeatureSpec, names: Sequence[str] | None = None
 ) -> DataFrame:

@@ -159,7 +159,7 @@ class VersionedTable:
         writer.parquet(f"{self.path}/{name}")
         return name
 
-    def frame(self, version: Version, parts: Sequence[dict] | None = None, schema: StructType | None = None) -> DataFrame:
+    def frame(self, version: Version, parts: Sequence[dict] | None = None, schema: StructType | str | None = None) -> DataFrame:
         """The rows of some of a version's parts, of all by default."""
         paths = [f"{self.path}/{p['path']}" for p in (version.parts if parts is None else parts)]
         schema = version.schema if schema is None else schema
@@ -232,6 +232,12 @@ class VersionedTable:
         return removed
 
 
+def sequence_of(name: str) -> tuple[str, int]:
+    """A stream and a number of it, from ``stream-7``; a name without a number is a stream of its own."""
+    stream, _, number = name.rpartition("-")
+    return (stream, int(number)) if stream and number.isdecimal() else (name, 0)
+
+
 def is_versioned(spark: SparkSession, path: str) -> bool:
     return bool(VersionedTable(spark, path).numbers())
 
