@@ -118,8 +118,8 @@ class SnapshotHistory:
     """Feature snapshots from the day ``first`` on, brought up to date by ``advance``.
 
     The rows of a day are those that a build with ``as_of`` on that day gives for it, of
-    all facts that have arrived, not older than the lookback at their arrival.  Their
-    products' categories are those at the arrival.
+    all facts that have arrived, not older than the lookback of the first day added at their
+    arrival.  Their products' categories are those at the arrival.
     """
 
     def __init__(self, spark: SparkSession, path: str, cfg: BuildConfig, first: date):
@@ -180,7 +180,9 @@ class SnapshotHistory:
         facts_schema = f"customer_id {key_type}, {_ARRIVED}"
         changes_schema = f"customer_id {key_type}, day date, {', '.join(f'{c} bigint' for c in RUNNING)}, order_day date"
 
-        new = stage(arrived_facts(orders_view, items_view, products).where(f"day >= {oldest}"), "arrived")
+        # The first of the new days looks back farthest.
+        looked = f"add_months(DATE '{min(as_of, last + timedelta(days=1))}', {-cfg.lookback_months})"
+        new = stage(arrived_facts(orders_view, items_view, products).where(f"day >= {looked}"), "arrived")
         low, high = new.agg(F.min("day"), F.max("day")).first()
         known = self._frame(version, "facts", facts_schema)
         near = known.where(F.col("day") >= F.lit(low) - F.expr(f"INTERVAL {cfg.long_days} DAY")) if low else known
