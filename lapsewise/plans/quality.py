@@ -1,7 +1,15 @@
-"""Data-quality reports.  Each is one aggregation; rates are rounded exactly."""
+"""Data-quality reports.  Each is one aggregation; rates are rounded exactly.
+
+The reports that are plain aggregates of a table come in two steps: the aggregates
+(``..._measures``, by name) and the report on a row of them (``..._of``).  So they can be
+taken while the table is written, and the report reads no row of it.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +34,20 @@ def _named(check: str) -> Column:
     return F.lit(check).alias("check_name")
 
 
-def label_distribution(labels: DataFrame, cfg: BuildConfig) -> DataFrame:
+def _aggregated(df: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
+    return df.agg(*(m.alias(name) for name, m in measures.items()))
+
+
+def label_measures(cfg: BuildConfig) -> dict[str, Column]:
     label = F.col(cfg.label_column)
-    totals = labels.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count(label).alias("labelled"),
-        F.sum(label).alias("churned_count"),
-    )
+    return {"total_rows": F.count(F.lit(1)), "labelled": F.count(label), "churned_count": F.sum(label)}
+
+
+def label_distribution(labels: DataFrame, cfg: BuildConfig) -> DataFrame:
+    return label_distribution_of(_aggregated(labels, label_measures(cfg)))
+
+
+def label_distribution_of(totals: DataFrame) -> DataFrame:
     churned, labelled = F.col("churned_count"), F.col("labelled")
     # Compared as integers: 5 % is churned * 20 = labelled.  On no rows every
     # test is null and the last branch answers.
@@ -53,17 +68,26 @@ def label_distribution(labels: DataFrame, cfg: BuildConfig) -> DataFrame:
     )
 
 
+def _null_checked(cfg: BuildConfig) -> list[str]:
+    """Every feature but the two distinct counts."""
+    return [c for c in cfg.feature_columns if not c.startswith("distinct_")]
+
+
+def null_measures(cfg: BuildConfig) -> dict[str, Column]:
+    return {"total_rows": F.count(F.lit(1)), **{f"known_{c}": F.count(c) for c in _null_checked(cfg)}}
+
+
 def feature_null_rates(features: DataFrame, cfg: BuildConfig) -> DataFrame:
     """Null share of every feature but the two distinct counts."""
-    checked = [c for c in cfg.feature_columns if not c.startswith("distinct_")]
-    counts = features.agg(
-        F.count(F.lit(1)).alias("total_rows"), *(F.count(c).alias(c) for c in checked)
-    )
+    return feature_null_rates_of(_aggregated(features, null_measures(cfg)), cfg)
+
+
+def feature_null_rates_of(totals: DataFrame, cfg: BuildConfig) -> DataFrame:
     total = F.col("total_rows")
-    return counts.select(
+    return totals.select(
         _named(FEATURE_NULL_RATE),
         "total_rows",
-        *(percentage(total - F.col(c), total).alias(f"{c}_null_pct") for c in checked),
+        *(percentage(total - F.col(f"known_{c}"), total).alias(f"{c}_null_pct") for c in _null_checked(cfg)),
     )
 
 
@@ -95,11 +119,29 @@ def training_quality(train: DataFrame, cfg: BuildConfig) -> DataFrame:
     )
 
 
+#: The tables of a build and their time columns, in the order of the report.
+TIMES = {
+    "features_customer": "feature_timestamp",
+    "labels_customer_churn": "label_timestamp",
+    "train_dataset": "label_timestamp",
+}
+
+
+def range_measures(table: str) -> dict[str, Column]:
+    return {"min_date": F.min(TIMES[table]), "max_date": F.max(TIMES[table])}
+
+
 def date_ranges(features: DataFrame, labels: DataFrame, train: DataFrame) -> DataFrame:
-    def one(name: str, df: DataFrame, column: str) -> DataFrame:
-        bounds = df.agg(F.min(column).alias("min_date"), F.max(column).alias("max_date"))
+    tables = zip(TIMES, (features, labels, train))
+    return date_ranges_of({name: _aggregated(df, range_measures(name)) for name, df in tables})
+
+
+def date_ranges_of(bounds: Mapping[str, DataFrame]) -> DataFrame:
+    """Of each table's row of bounds."""
+
+    def one(name: str) -> DataFrame:
         days = F.datediff(F.to_date("max_date"), F.to_date("min_date")).cast("bigint")
-        return bounds.select(
+        return bounds[name].select(
             _named(DATE_RANGE),
             F.lit(name).alias("table_name"),
             "min_date",
@@ -107,15 +149,11 @@ def date_ranges(features: DataFrame, labels: DataFrame, train: DataFrame) -> Dat
             days.alias("date_range_days"),
         )
 
-    return (
-        one("features_customer", features, "feature_timestamp")
-        .unionByName(one("labels_customer_churn", labels, "label_timestamp"))
-        .unionByName(one("train_dataset", train, "label_timestamp"))
-    )
+    return reduce(DataFrame.unionByName, map(one, TIMES))
 
 
-def feature_means(train: DataFrame, cfg: BuildConfig) -> DataFrame:
-    """Mean of every feature with two decimals."""
+def mean_measures(cfg: BuildConfig) -> dict[str, Column]:
+    """Sums in hundredths, and counts."""
 
     def hundredths(name: str) -> Column:
         money = name.startswith(("revenue_", "avg_"))
@@ -123,10 +161,16 @@ def feature_means(train: DataFrame, cfg: BuildConfig) -> DataFrame:
             "decimal(34,0)"
         )
 
-    sums = train.agg(
-        *(F.sum(hundredths(c)).alias(f"sum_{c}") for c in cfg.feature_columns),
-        *(F.count(c).alias(f"n_{c}") for c in cfg.feature_columns),
-    )
+    sums = {f"sum_{c}": F.sum(hundredths(c)) for c in cfg.feature_columns}
+    return {**sums, **{f"n_{c}": F.count(c) for c in cfg.feature_columns}}
+
+
+def feature_means(train: DataFrame, cfg: BuildConfig) -> DataFrame:
+    """Mean of every feature with two decimals."""
+    return feature_means_of(_aggregated(train, mean_measures(cfg)), cfg)
+
+
+def feature_means_of(sums: DataFrame, cfg: BuildConfig) -> DataFrame:
     return sums.select(
         _named(FEATURE_STATS),
         *(

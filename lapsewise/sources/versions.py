@@ -20,12 +20,13 @@ import json
 import re
 import time
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _VERSION = re.compile(r"(\d{12})\.json")
@@ -175,23 +176,44 @@ class VersionedTable:
         return self.frame(version)
 
     def replace(
-        self, df: DataFrame, order_by: Sequence[str] = (), partition_by: Sequence[str] = (), notes: dict | None = None
+        self,
+        df: DataFrame,
+        order_by: Sequence[str] = (),
+        partition_by: Sequence[str] = (),
+        notes: dict | None = None,
+        measures: Mapping[str, Column] | None = None,
     ) -> DataFrame:
         """The table anew; ``df`` may read the present version.  Of two that replace, the later one stays.
 
         ``order_by`` range-partitions and sorts, so that files hold disjoint key
-        ranges and their statistics prune later reads.
+        ranges and their statistics prune later reads.  ``measures`` are aggregates of
+        all rows, taken while these are written; ``measured`` returns them.
         """
         if order_by:
             keys = [*partition_by, *order_by]
             df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        schema, notes, seen = df.schema, dict(notes or {}), None
+        if measures:
+            # Last before the write, in the tasks whose results count once, however often they run.
+            seen = Observation()
+            df = df.observe(seen, *(m.cast("string").alias(name) for name, m in measures.items()))
         part = {"path": self.write(df, partition_by)}
+        if seen is not None:
+            notes["measured"] = seen.get
         while True:
             try:
-                return self.frame(self.commit(self.version(), [part], df.schema, notes))
+                return self.frame(self.commit(self.version(), [part], schema, notes))
             except CommitConflict:
                 continue
 
+    def measured(self, types: Mapping[str, str], number: int | None = None) -> DataFrame:
+        """One row of the measures taken when a version was written, by name and type."""
+        version = self.version(number)
+        held = version.notes.get("measured") if version else None
+        if held is None or not set(types) <= set(held):
+            raise LookupError(f"{self.path}: {sorted(types)} were not measured")
+        return self.spark.range(1).select(*(F.lit(held[name]).cast(kind).alias(name) for name, kind in types.items()))
+
     # -- removal ------------------------------------------------------------
 
     @contextmanager

@@ -1,0 +1,62 @@
+"""The stored build, and the reports it measures while it writes."""
+
+import random
+from datetime import date
+
+import pytest
+from shop import DAY, Shop, rows_of
+
+from lapsewise import BuildConfig
+from lapsewise.plans import quality
+from lapsewise.plans.build import MeasuredReports, build_tables, tables_report
+from lapsewise.sources import VersionedTable, open_table
+
+CFG = BuildConfig(as_of=date(2024, 6, 30), lookback_months=2, churn_days=9, short_days=5, long_days=20)
+
+
+def shops():
+    draw = random.Random(5)
+    shop = Shop()
+    for _ in range(40):
+        day = CFG.as_of - draw.randint(0, 55) * DAY
+        shop.order(draw.randint(1, 6), day, items=[(draw.randint(1, 4), draw.randint(1, 999) / 100)] * draw.randint(0, 2))
+    return {"orders": shop, "none": Shop()}
+
+
+@pytest.mark.parametrize("kind", ["orders", "none"])
+def test_measured_reports_are_those_of_the_tables(spark, tmp_path, kind):
+    path = str(tmp_path / "build")
+    t = build_tables(*shops()[kind].frames(spark), CFG, path)
+    reports = MeasuredReports(spark, path, CFG)
+    pairs = [
+        (reports.label_distribution(), quality.label_distribution(t.labels, CFG)),
+        (reports.feature_null_rates(), quality.feature_null_rates(t.features, CFG)),
+        (reports.feature_means(), quality.feature_means(t.train, CFG)),
+        (reports.date_ranges(), quality.date_ranges(t.features, t.labels, t.train)),
+        (reports.row_counts(), tables_report(spark, path)),
+    ]
+    for measured, read in pairs:
+        assert measured.dtypes == read.dtypes
+        assert rows_of(measured) == rows_of(read)
+        assert "FileScan" not in measured._jdf.queryExecution().executedPlan().toString()
+    assert (t.features.count() > 0) == (kind == "orders")
+
+
+def test_a_build_replaces_all_tables_in_steps(spark, tmp_path):
+    path = str(tmp_path / "build")
+    first = build_tables(*shops()["orders"].frames(spark), CFG, path)
+    rows = rows_of(first.train)
+    second = build_tables(*shops()["none"].frames(spark), CFG, path)
+    assert second.train.isEmpty() and rows_of(first.train) == rows  # whoever had it open still reads it
+    assert open_table(spark, f"{path}/train_dataset").isEmpty()
+    assert MeasuredReports(spark, path, CFG).label_distribution().first()["total_rows"] == 0
+
+
+def test_what_was_not_measured_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = VersionedTable(spark, path)
+    with pytest.raises(LookupError):
+        table.measured({"n": "bigint"})
+    table.replace(spark.range(5))
+    with pytest.raises(LookupError):
+        table.measured({"n": "bigint"})
