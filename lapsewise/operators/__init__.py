@@ -11,7 +11,7 @@ from lapsewise.operators.horizon import (
     order_gaps,
 )
 from lapsewise.operators.latest import latest_by_rank, latest_per_key
-from lapsewise.operators.selection import CutPoint, cut_after, nth_smallest
+from lapsewise.operators.selection import CutPoint, cut_after, cuts_after, nth_smallest
 from lapsewise.operators.trailing import daily_snapshots, item_facts, order_facts
 
 __all__ = [
@@ -19,6 +19,7 @@ __all__ = [
     "asof_join",
     "customer_spine",
     "cut_after",
+    "cuts_after",
     "daily_snapshots",
     "distinct_customers",
     "item_facts",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.config import BuildConfig
 from lapsewise.functions import order_value, ratio
-from lapsewise.operators import CutPoint, cut_after
+from lapsewise.operators import cuts_after
 from lapsewise.sources import stage
 
 _ORDER = "_order_"
@@ -38,9 +38,9 @@ def time_split(
     ordering = keyed.select(*order)
     n = ordering.count()
     # Floating products are cut off exactly as written here: 90 * 0.7 gives 62.
-    train = cut_after(ordering, order, int(n * train_ratio)).includes()
-    valid = cut_after(ordering, order, int(n * (train_ratio + valid_ratio))).includes()
-    split = F.when(train, "train").when(valid, "valid").otherwise("test")
+    ranks = [int(n * train_ratio), int(n * (train_ratio + valid_ratio))]
+    ((train, valid),) = cuts_after(ordering, order, [(F.lit(True), n, ranks)])
+    split = F.when(train.includes(), "train").when(valid.includes(), "valid").otherwise("test")
     return keyed.withColumn("split", split).drop(*order)
 
 
@@ -77,11 +77,12 @@ def stratified_split(
     )
     ordering = keyed.select(label_column, *order)
     classes = {r[0]: r[1] for r in ordering.groupBy(label_column).count().collect()}
+    taken = class_train_counts(classes, test_size)
+    of_label = {label: F.col(label_column).eqNullSafe(F.lit(label)) for label in classes}
+    cuts = cuts_after(ordering, order, [(of_label[c], classes[c], [taken[c]]) for c in classes])
     in_train = F.lit(False)
-    for label, rows in class_train_counts(classes, test_size).items():
-        of_label = F.col(label_column).eqNullSafe(F.lit(label))
-        cut: CutPoint = cut_after(ordering.where(of_label), order, rows)
-        in_train = in_train | (of_label & cut.includes())
+    for label, (cut,) in zip(classes, cuts):
+        in_train = in_train | (of_label[label] & cut.includes())
     return keyed.withColumn("split", F.when(in_train, "train").otherwise("test")).drop(*order)
 
 

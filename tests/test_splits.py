@@ -7,7 +7,7 @@ from local import frame
 from pyspark.sql import functions as F
 
 from lapsewise import BuildConfig
-from lapsewise.operators import cut_after, nth_smallest
+from lapsewise.operators import cut_after, cuts_after, nth_smallest
 from lapsewise.plans.splits import class_train_counts, dataset_metadata, stratified_split, time_split
 from lapsewise.sources import read_split, write_splits
 
@@ -111,3 +111,41 @@ def test_metadata_and_files(spark, tmp_path):
     with pytest.raises(ValueError):
         read_split(spark, str(tmp_path / "data"), "holdout")
     assert parts.where(F.col("split").isNull()).isEmpty()
+
+
+@pytest.mark.parametrize("settings", [{}, {"most": 50, "accuracy": 10}, {"most": 0, "accuracy": 1000, "bins": 3}, {"most": 20, "accuracy": 3, "bins": 2}])
+def test_many_cuts_at_once(spark, settings):
+    """Skewed, tied, negative and huge values, in groups of one to many rows, against a sort."""
+    rng = random.Random(12)
+    rows = []
+    for group, n in ((0, 1), (1, 400), (2, 60), (3, 333)):
+        values = [rng.choice([0, 7, -(2**62), 2**61 + rng.randrange(9), rng.randrange(-50, 50), int(rng.expovariate(1e-9))]) for _ in range(n)]
+        rows += [(group, v, i % 5, i) for i, v in enumerate(values)]
+    df = frame(spark, rows, "g bigint, a bigint, b bigint, c bigint").repartition(5)
+    groups, ranked = [], []
+    for group in range(4):
+        held = sorted(r[1:] for r in rows if r[0] == group)
+        ranks = sorted({0, 1, len(held) // 3, len(held) // 3 + 1, int(0.7 * len(held)), len(held) - 1, len(held)})
+        groups.append((F.col("g") == group, len(held), ranks))
+        ranked.append(held)
+    for (condition, _, ranks), held, cuts in zip(groups, ranked, cuts_after(df, ["a", "b", "c"], groups, **settings)):
+        for rank, cut in zip(ranks, cuts):
+            before = {tuple(r) for r in df.where(condition & cut.includes()).select("a", "b", "c").collect()}
+            assert before == set(held[:rank])
+
+
+def test_cuts_take_two_passes_a_column(spark, monkeypatch):
+    """However many groups and cuts; and ranks beyond a group's rows are refused."""
+    df = spark.range(5000).selectExpr("id % 7 AS g", "hash(id) * 4294967296L + id AS a").repartition(4)
+    groups = [(F.col("g") == g, df.where(f"g = {g}").count(), [10, 300, 500]) for g in range(7)]
+    jobs, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: jobs.append(1) or collect(self))
+    cuts = cuts_after(df, ["a"], groups, most=200)
+    assert len(jobs) == 2
+    monkeypatch.undo()
+    for (condition, _, ranks), found in zip(groups, cuts):
+        assert [df.where(condition & c.includes()).count() for c in found] == ranks
+    with pytest.raises(ValueError, match="exceeds"):
+        cuts_after(df, ["a"], [(F.col("g") == 0, 10_000, [9_000])], most=200)
+    with pytest.raises(ValueError, match="exceeds"):
+        cuts_after(df, ["a"], [(F.col("g") == 0, 10_000, [9_000])])
