@@ -1,5 +1,8 @@
+import math
+
 import corpus
 import numpy as np
+import zstandard
 from local import frame
 
 from lapsewise.llm import quality_compression as quality
@@ -92,3 +95,25 @@ def test_a_class_of_long_texts_teaches(spark):
     model = quality.fit(frame(spark, corpus.rows(texts), corpus.DDL), labels, per_class=10, calibration=10)
     good, bad = model.scores([b"some good words 99", b"BAD!! WORDS!! 98"])
     assert good > bad
+
+
+def test_scores_as_computed_plainly(spark):
+    """Every given text, each piece compressed by compressors of its own, and the calibration written out."""
+    documents, _, model = fitted(spark)
+    kind = zstandard.DICT_TYPE_RAWCONTENT if model.raw else zstandard.DICT_TYPE_FULLDICT
+
+    def size(part, data):
+        known = zstandard.ZstdCompressionDict(data, dict_type=kind)
+        options = dict(write_content_size=False, write_checksum=False, write_dict_id=False)
+        return len(zstandard.ZstdCompressor(level=3, dict_data=known, **options).compress(part))
+
+    def plain(text):
+        saved = sum(size(text[i : i + 512], model.bad) - size(text[i : i + 512], model.good) for i in range(0, len(text), 512))
+        x = (saved + 256 * model.mean) / (len(text) + 256)
+        return 1 / (1 + math.exp(-(model.slope * x + model.intercept)))
+
+    some = documents.where("doc_id < 60").unionByName(corpus.awkward(spark).select(*documents.columns).where("length(text) < 5000 OR text IS NULL"))
+    rows = some.select("doc_id", "text").collect()
+    want = sorted(plain((r["text"] or "").encode()) for r in rows)
+    got = sorted(r["score"] for r in quality.score_quality(some, model).collect())
+    assert np.allclose(got, want, rtol=0, atol=1e-9)
