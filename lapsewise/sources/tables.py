@@ -21,15 +21,18 @@ def _local_stage_dir() -> str:
     return tempfile.mkdtemp(prefix="lapsewise-stage-")
 
 
-@cache
-def _application_dir(base: str, application: str) -> str:
-    """One folder an application, removed when its session ends."""
-    spark = SparkSession.active()
-    folder = f"{base.rstrip('/')}/lapsewise/{application}"
-    location = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.mkdirs(location)
-    files.deleteOnExit(location)
+_made: set[str] = set()
+
+
+def _application_dir(spark: SparkSession, base: str) -> str:
+    """One folder an application, removed when its JVM ends."""
+    folder = f"{base.rstrip('/')}/lapsewise/{spark.sparkContext.applicationId}"
+    if folder not in _made:
+        location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = location.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(location)
+        files.deleteOnExit(location)
+        _made.add(folder)
     return folder
 
 
@@ -44,7 +47,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         if master != "local" and not master.startswith("local["):
             raise ValueError("executors on other machines need a shared folder: set spark.checkpoint.dir")
         base = _local_stage_dir()
-    return f"{_application_dir(base, spark.sparkContext.applicationId)}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_dir(spark, base)}/{name}-{uuid.uuid4().hex}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

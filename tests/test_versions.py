@@ -1,9 +1,13 @@
+import subprocess
+import sys
 import threading
+import time
+from pathlib import Path
 
 import pytest
 from local import frame
 
-from lapsewise.sources import build_report, open_table, replace_table
+from lapsewise.sources import build_report, open_table, path_exists, replace_table, scratch_path
 from lapsewise.sources.versions import CommitConflict, VersionedTable
 
 DDL = "id bigint, v string"
@@ -121,3 +125,39 @@ def test_empty_table_and_report(spark, tmp_path):
         "plain": (1, "present"),
         "none": (None, "absent"),
     }
+
+
+def test_scratch_folders(spark):
+    path = scratch_path(spark, "x")
+    folder, _, name = path.rpartition("/")
+    assert folder.endswith(f"/lapsewise/{spark.sparkContext.applicationId}") and name.startswith("x-")
+    assert path_exists(spark, folder) and not path_exists(spark, path)
+    assert scratch_path(spark, "x") != path
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Cluster, "x")
+
+
+def test_the_folder_goes_with_its_session(tmp_path):
+    code = (
+        "from lapsewise import spark_session\n"
+        "from lapsewise.sources import stage\n"
+        "s = spark_session(master='local[1]', **{'spark.ui.enabled': 'false', 'spark.checkpoint.dir': %r})\n"
+        "print(stage(s.range(5), 'r').count())\n"
+        "s.stop()\n" % str(tmp_path)
+    )
+    root = Path(__file__).resolve().parent.parent
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=200)
+    assert done.stdout.strip() == "5", done.stderr
+    for _ in range(100):  # the JVM ends a little after its driver
+        if not list((tmp_path / "lapsewise").glob("*")):
+            break
+        time.sleep(0.2)
+    assert not list((tmp_path / "lapsewise").glob("*"))
