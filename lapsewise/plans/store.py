@@ -19,6 +19,7 @@ from pyspark.sql.types import ArrayType, IntegralType
 
 from lapsewise.functions import order_value
 from lapsewise.operators import latest_per_key
+from lapsewise.sources.tables import replace_bucketed_table
 from lapsewise.sources.versions import CommitConflict, Folder, Version, VersionedTable, sequence_of
 
 LOG_SCHEMA = (
@@ -380,6 +381,20 @@ class ServingTable:
     def fetch_many(self, keys: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
         return fetch_many(self.read(), keys, self.spec, names)
 
+    def bucketed(self, name: str, buckets: int | None = None) -> DataFrame:
+        """The current table as a catalog table bucketed by the key, for ``fetch_many`` of many keys.
+
+        Requests of any number then join it with one shuffle, of the requests.  It is as
+        of the version it was made from, and each version has a table of its own.
+        """
+        version = self._current()
+        if buckets is None:
+            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path = f"{self.path}/bucketed/{version.number:012d}-{buckets}"
+        return replace_bucketed_table(
+            self._merged(version), f"{name}_{version.number}", buckets, self.spec.entity_key, path=path
+        )
+
 
 def fetch_many(
     table: DataFrame, keys: DataFrame, spec: FeatureSpec, names: Sequence[str] | None = None

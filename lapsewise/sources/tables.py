@@ -93,13 +93,16 @@ def replace_table(
 
 
 def replace_bucketed_table(
-    df: DataFrame, name: str, buckets: int, key: str, sort_by: Sequence[str] = ()
+    df: DataFrame, name: str, buckets: int, key: str, sort_by: Sequence[str] = (), path: str | None = None
 ) -> DataFrame:
-    """Rebuild the catalog table ``name`` bucketed by ``key``.
+    """Rebuild the catalog table ``name`` bucketed by ``key``, below ``path`` or in the warehouse.
 
-    Tables with the same key and bucket count join on it without a shuffle.
+    Tables with the same key and bucket count join on it without a shuffle, and any other
+    joins on it with a shuffle of its own rows alone.
     """
     writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
     writer.bucketBy(buckets, key).sortBy(key, *sort_by).saveAsTable(name)
     return df.sparkSession.table(name)
 

@@ -129,6 +129,25 @@ def test_the_base_is_not_shuffled_to_be_read(spark, tmp_path):
     assert 0 < len(files) < len(table.read().inputFiles())
 
 
+def test_requests_alone_are_shuffled_to_a_bucketed_table(spark, tmp_path):
+    table = ServingTable(spark, str(tmp_path / "serving"), SPEC, share=1e9)
+    table.sync(frame(spark, [(i, day(0), i, 1.0) for i in range(0, 400, 2)], DDL))
+    table.merge("s-0", frame(spark, [(4, day(1), -4, 0.5), (401, day(1), 7, 0.0)], DDL))
+    served_by = table.bucketed("serving_for_requests", 4)
+    keys = frame(spark, [(i,) for i in range(403)], "customer_id bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = store.fetch_many(served_by, keys, SPEC)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(map(tuple, found.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert rows == sorted(map(tuple, table.fetch_many(keys).collect()))
+    assert rows[4] == (4, -4, 0.5, "success", None) and rows[5][3] == "error"
+    spark.sql(f"DROP TABLE serving_for_requests_{table.table.version().number}")
+
+
 def test_versions_that_no_reader_needs_go(spark, tmp_path):
     table = ServingTable(spark, str(tmp_path / "serving"), SPEC, share=0.0, keep=2)
     table.merge("s-0", frame(spark, [(1, day(0), 1, 1.0)], DDL))
