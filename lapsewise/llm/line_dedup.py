@@ -2,9 +2,8 @@
 
 A line goes if an earlier line of the corpus equals it or lies within one edit (a
 character inserted, deleted or replaced).  Order is by doc_id, then by line; the
-earliest of its like stays.  Lines shorter than ``min_chars`` are compared with no line
-by edits; the exact part takes lines from ``exact_chars`` on that are not blank, and those
-of ``min_chars``, which is all it takes by default.  Other lines stay and drop nothing.
+earliest of its like stays.  Equal lines of any length go; only lines of ``min_chars``
+or more are compared by edits.  Blank lines (the six ASCII spaces at most) stay and drop nothing.
 
 Equal lines are found by 128 bits of hash, combined before the shuffle, so that a line
 with a third of all rows is one row a task.  Of the distinct lines only those are
@@ -75,12 +74,9 @@ def _halves(line: Column) -> Column:
     return F.array(*keys)
 
 
-def _exploded(documents: DataFrame, min_chars: int, exact_chars: int | None = None) -> DataFrame:
+def _exploded(documents: DataFrame) -> DataFrame:
     lines = documents.select("doc_id", text_hash(), F.posexplode(_lines()).alias("line_no", "line"))
-    taken = F.length("line") >= min_chars
-    if exact_chars is not None:
-        taken |= (F.length("line") >= exact_chars) & F.col("line").rlike(r"\S")
-    return lines.where(taken)
+    return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str, small: int) -> DataFrame:
@@ -88,8 +84,8 @@ def _joined(left: DataFrame, right: DataFrame, on: list[str], how: str, small: i
     return left.join(F.broadcast(right) if right.count() <= small else right, on, how)
 
 
-def occurrences(documents: DataFrame, min_chars: int, exact_chars: int | None = None) -> DataFrame:
-    lines = _exploded(documents, min_chars, exact_chars)
+def occurrences(documents: DataFrame, min_chars: int) -> DataFrame:
+    lines = _exploded(documents)
     first, second = _two(F.col("line"))
     halves = F.when(F.length("line") >= min_chars, _halves(F.col("line")))
     return lines.select(
@@ -194,18 +190,18 @@ def _near(lines: DataFrame, small: int) -> DataFrame:
 
 
 def dropped_lines(
-    documents: DataFrame, min_chars: int = 20, max_edits: int = 1, small: int = SMALL, exact_chars: int | None = None
+    documents: DataFrame, min_chars: int = 20, max_edits: int = 1, small: int = SMALL
 ) -> DataFrame:
     """(doc_id, text_hash, dropped): the numbers, from 0, of each document's dropped lines, in order."""
     if max_edits not in (0, 1):
         raise ValueError("max_edits is 0 or 1")
-    found = stage(occurrences(documents, min_chars, exact_chars), "lines")
+    found = stage(occurrences(documents, min_chars), "lines")
     distinct = stage(_distinct(found), "distinct-lines")
     again = distinct.where("n > 1").select("h1", "h2", "first")
     if max_edits:
         paired = stage(_paired(distinct, small), "paired-lines")
         first, second = _two(F.col("line"))
-        lines = _exploded(documents, min_chars).select("line", first.alias("h1"), second.alias("h2"))
+        lines = _exploded(documents).where(F.length("line") >= min_chars).select("line", first.alias("h1"), second.alias("h2"))
         lines = _joined(lines, paired, ["h1"], "left_semi", small).groupBy("h1", "h2").agg(F.min("line").alias("line"))
         lines = stage(lines.join(distinct.select("h1", "h2", "first"), ["h1", "h2"]), "compared-lines")
         near = distinct.join(_near(lines, small), "first", "left_semi")
@@ -228,14 +224,12 @@ def _with_dropped(documents: DataFrame, keep: list[Column], dropped: DataFrame)
     return documents.select(*keep, *row_key()).join(gone, ["_id", "_hash"], "left")
 
 
-def line_report(
-    documents: DataFrame, min_chars: int = 20, max_edits: int = 1, exact_chars: int | None = None
-) -> DataFrame:
+def line_report(documents: DataFrame, min_chars: int = 20, max_edits: int = 1) -> DataFrame:
     """doc_id, n_lines, n_dropped and the dropped lines' numbers, comma-separated, of every row."""
     n = F.coalesce(F.size(_lines()), F.lit(0)).cast("long")
     count = F.when(F.col("text").isNull(), F.lit(0)).otherwise(n).cast("long").alias("_n")
     kept = [F.col("doc_id").alias("_doc"), count]
-    rows = _with_dropped(documents, kept, dropped_lines(documents, min_chars, max_edits, exact_chars=exact_chars))
+    rows = _with_dropped(documents, kept, dropped_lines(documents, min_chars, max_edits))
     return rows.select(
         F.col("_doc").alias("doc_id"),
         F.col("_n").alias("n_lines"),
@@ -244,11 +238,9 @@ def line_report(
     )
 
 
-def dedup_lines(
-    documents: DataFrame, min_chars: int = 20, max_edits: int = 1, exact_chars: int | None = None
-) -> DataFrame:
+def dedup_lines(documents: DataFrame, min_chars: int = 20, max_edits: int = 1) -> DataFrame:
     """The whole rows with ``text`` left to its kept lines; those that lose every line they had go."""
-    dropped = dropped_lines(documents, min_chars, max_edits, exact_chars=exact_chars)
+    dropped = dropped_lines(documents, min_chars, max_edits)
     rows = _with_dropped(documents, [F.struct("*").alias("row")], dropped)
     lines = _lines("row.text")
     numbers = F.sequence(F.lit(0), F.size(lines) - 1)

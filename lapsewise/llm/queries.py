@@ -34,11 +34,6 @@ def op4_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf, "documents"), min_chars=20, max_edits=1)
 
 
-def op4_line_dedup_short_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """op4 with an exact part that takes every line that is not blank."""
-    return line_dedup.line_report(_table(spark, sf, "documents"), min_chars=20, max_edits=1, exact_chars=1)
-
-
 def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.round_trip(_table(spark, sf, "documents")))
 
@@ -90,7 +85,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_quality_classifier,
         op3_language_id,
         op4_line_dedup,
-        op4_line_dedup_short_lines,
         op5_byte_bpe,
         op6_mix_sources,
         op7_url_filters,
@@ -103,26 +97,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-#: Lines by place; a line goes if an earlier one equals it, differs in one character at
-#: the same place, or is it with one character more or less.
-_LINES_SQL = """
+#: Lines by place; a line goes if an earlier one equals it or, from 20 characters on, differs in
+#: one character at the same place, or is it with one character more or less.
+_LINES_SQL = r"""
 WITH texts AS (SELECT doc_id, hash(text) AS text_hash, text, string_split(text, chr(10)) AS lines FROM documents),
 places AS (
   SELECT doc_id, text_hash, unnest(lines) AS line, unnest(range(len(lines))) AS line_no FROM texts),
-long_lines AS (
+held AS (
   SELECT *, coalesce(CAST(doc_id AS HUGEINT), CAST(9223372036854775808 AS HUGEINT)) * 2147483648 + line_no AS place
-  FROM places WHERE length(line) >= 20),
-kinds AS (SELECT line, min(place) AS first FROM long_lines GROUP BY line),
+  FROM places WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+kinds AS (SELECT line, min(place) AS first FROM held GROUP BY line),
+compared AS (SELECT * FROM kinds WHERE length(line) >= 20),
 variants AS (
-  SELECT first, 0 AS spot, md5_number(line) AS v FROM kinds
+  SELECT first, 0 AS spot, md5_number(line) AS v FROM compared
   UNION ALL
   SELECT first, spot, md5_number(substr(line, 1, spot - 1) || substr(line, spot + 1)) FROM (
-    SELECT first, line, unnest(range(1, length(line) + 1)) AS spot FROM kinds)),
+    SELECT first, line, unnest(range(1, length(line) + 1)) AS spot FROM compared)),
 near AS (
   SELECT DISTINCT b.first FROM variants a JOIN variants b ON a.v = b.v AND a.first < b.first
   WHERE a.spot = b.spot OR a.spot = 0 OR b.spot = 0),
 gone AS (
-  SELECT DISTINCT l.doc_id, l.text_hash, l.line_no FROM long_lines l JOIN kinds k ON l.line = k.line
+  SELECT DISTINCT l.doc_id, l.text_hash, l.line_no FROM held l JOIN kinds k ON l.line = k.line
   WHERE l.place > k.first OR k.first IN (SELECT first FROM near)),
 listed AS (
   SELECT doc_id, text_hash, count(*) AS n, string_agg(line_no, ',' ORDER BY line_no) AS dropped
