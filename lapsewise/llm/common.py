@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -34,6 +37,15 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Itera
             yield batch.slice(at, step)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hands memory that a task no longer uses back to the system, since workers outlive their tasks."""
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(
     df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str, max_bytes: int = 8 << 20
 ) -> DataFrame:

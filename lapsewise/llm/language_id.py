@@ -17,7 +17,8 @@ longer text it takes ``sample_chars`` characters from a seeded place on, or from
 if there is none in them.  Prediction takes every character of every text.
 
 Defined results: ``und`` with score 0 for a text that is null or has no letters, and
-for every text when there is nothing to learn from; rows that repeat are predicted
+for every text when there is nothing to learn from; a text with letters that shares no n-gram
+with a landmark has score 0 and the first language by name; rows that repeat are predicted
 alike; columns other than doc_id, text and (when learning) lang are not read.
 """
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import excerpt, held_out, map_arrow, on_workers, sampled, seeded, slices
+from lapsewise.llm.common import excerpt, held_out, map_arrow, on_workers, released, sampled, seeded, slices
 from lapsewise.sources import stage
 
 SPECTRUM = 3
@@ -40,6 +41,7 @@ BITS = 17
 SPACE = 32
 UNKNOWN = "und"
 BATCH = 128
+#: Landmarks of all languages together; one of each at least.
 MOST_LANDMARKS = 1000
 LETTER = r"\p{L}"
 
@@ -173,7 +175,6 @@ def fit(
     names = np.array([languages.index(name) for name, _ in known])
     marks = min(landmarks, max(1, MOST_LANDMARKS // len(languages)))
     first = np.concatenate([np.flatnonzero(names == i)[:marks] for i in range(len(languages))])
-    first = first[:MOST_LANDMARKS]
     target = np.eye(len(languages))[names]
     columns, scaled, weights = _solve([t for _, t in known], target, first, ridge)
     return KernelModel(languages, columns, scaled, weights)
@@ -204,14 +205,19 @@ def keep_known(documents: DataFrame, model: KernelModel) -> DataFrame:
     Where there was nothing to learn from, all texts with letters stay.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = batch.column(at).to_pylist()
-            if model.languages:
-                known = [name != UNKNOWN for name in model.predict(found)[0]]
-            else:
-                known = [bool(t) and any(c.isalpha() for c in t) for t in found]
-            yield batch.filter(pa.array(known, pa.bool_()))
-
-    at = documents.columns.index("text")
-    return on_workers(documents).mapInArrow(run, documents.schema)
+    def known(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            found: list[bool] = []
+            for batch in slices([pa.RecordBatch.from_arrays([column], ["text"])]):
+                part = batch.column("text").to_pylist()
+                if model.languages:
+                    found += [name != UNKNOWN for name in model.predict(part)[0]]
+                else:
+                    found += [bool(t) and any(c.isalpha() for c in t) for t in part]
+            yield pa.array(found, pa.bool_())
+
+    # Only texts go to the workers; rows wait in the JVM for what they say.
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return released(known(columns))
+
+    return on_workers(documents).where(F.arrow_udf(run, "boolean")(F.col("text").cast("string")))

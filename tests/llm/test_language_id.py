@@ -94,3 +94,22 @@ def test_texts_with_letters_stay_when_nothing_is_learned(spark):
     df = corpus.awkward(spark)
     kept = language_id.keep_known(df, language_id.NOTHING).collect()
     assert sorted(map(str, kept)) == sorted(str(r) for r in df.collect() if any(c.isalpha() for c in r["text"] or ""))
+
+
+def test_no_ngram_in_common(spark):
+    texts = ["abc abd " * 3, "xyz xyw " * 3] * 20
+    df = frame(spark, corpus.rows(texts + ["ддд"], ["zu", "fr"] * 20 + [None]), corpus.DDL)
+    model = language_id.fit(df)
+    rows = {r["doc_id"]: r for r in language_id.predict_language(df, model).collect()}
+    assert (rows[40]["lang_pred"], rows[40]["score"]) == ("fr", 0.0)
+    assert rows[0]["lang_pred"] == "zu" and rows[1]["lang_pred"] == "fr"
+
+
+def test_every_language_has_a_landmark(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANDMARKS", 3)
+    names = [f"l{i}" for i in range(8)]
+    texts = [f"{chr(97 + 3 * i)}{chr(98 + 3 * i)} " * 9 for i in range(8)]
+    df = frame(spark, corpus.rows(texts * 30, names * 30), corpus.DDL)
+    model = language_id.fit(df)
+    assert model.landmarks.shape[1] == 8
+    assert [n for n, _ in zip(model.predict(texts)[0], texts)] == names
