@@ -41,26 +41,36 @@ def host(url: str) -> Column:
     return F.when(found != "", found)
 
 
-def keys(url: str) -> Column:
-    """Every kind and pattern that names the URL."""
-    name = host(url)
-    labels = F.split(name, r"\.")
-    domains = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.concat(F.lit("domain:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")),
-    )
+def _count(text: Column, mark: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
+
+
+def keys(url: str, steps: list[int], labels: list[int]) -> Column:
+    """Every kind and pattern that names the URL, of domains of so many ``labels`` and
+    prefixes of so many ``steps`` as patterns have."""
+
+    def depths(numbers: list[int]) -> Column:
+        return F.array(*(F.lit(n) for n in numbers)).cast("array<int>")
+
+    def cut(text: Column, mark: str, n: Column) -> Column:
+        return F.call_function("substring_index", text, F.lit(mark), n)
+
+    def of(name: Column, path: Column) -> Column:
+        domains = F.transform(
+            F.filter(depths(labels), lambda n: n <= _count(name, ".") + 1),
+            lambda n: F.concat(F.lit("domain:"), cut(name, ".", -n)),
+        )
+        prefixes = F.transform(
+            F.filter(depths(steps), lambda n: n <= _count(path, "/")),
+            lambda n: F.concat(F.lit("prefix:"), name, cut(path, "/", n), F.lit("/")),
+        )
+        whole = [F.concat(F.lit("host:"), name), F.concat(F.lit("prefix:"), name, path)]
+        return F.array_distinct(F.concat(F.array(*whole), domains, prefixes))
+
     path = F.regexp_extract(F.col(url), PATH, 1)
-    steps = F.split(F.when(path == "", "/").otherwise(path), "/")
-    prefixes = F.transform(
-        F.sequence(F.lit(1), F.size(steps)),
-        lambda i: F.concat(
-            F.lit("prefix:"),
-            name,
-            F.array_join(F.slice(steps, F.lit(1), i), "/"),
-            F.when(i < F.size(steps), "/").otherwise(""),
-        ),
-    )
-    return F.array_distinct(F.concat(F.array(F.concat(F.lit("host:"), name)), domains, prefixes))
+    parts = F.array(F.struct(host(url).alias("name"), F.when(path == "", "/").otherwise(path).alias("path")))
+    # Bound in an array of one, the parts of a URL are found once and not for each key.
+    return F.flatten(F.transform(parts, lambda p: of(p["name"], p["path"])))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -97,10 +107,15 @@ def judge(
         F.col(fetched_at).cast("long").alias("_at"),
     )
     last = rows.agg(F.max("_at")).first()[0]
+    kinds = named.select(
+        F.when(F.col("key").endswith("/"), _count(F.col("key"), "/")).alias("steps"),
+        F.when(F.col("key").startswith("domain:"), _count(F.col("key"), ".") + 1).alias("labels"),
+    ).agg(F.collect_set("steps").alias("steps"), F.collect_set("labels").alias("labels"))
+    depth = kinds.first()
     asked = (
         rows.where("_at is not null")
         .distinct()
-        .select("_id", "_url", "_at", F.explode(keys("_url")).alias("key"))
+        .select("_id", "_url", "_at", F.explode(keys("_url", depth["steps"], depth["labels"])).alias("key"))
         .join(named, "key")
         .withColumn("span", F.when(F.col("busy"), F.floor(F.col("_at") / span)).otherwise(-1))
     )

@@ -103,3 +103,19 @@ def test_empty_tables(spark):
 def test_long_url(spark):
     url = "http://" + "a." * 50 + "org/" + "x/" * 500 + "end"
     check(spark, [(1, url, 5)], [("m", "block", "prefix", url[7:-3], "add", 1), ("n", "block", "domain", "a.org", "add", 1)])
+
+
+def test_very_long_urls(spark):
+    """The cost of a URL follows its length and the depths that patterns have."""
+    steps = "x/" * 40_000
+    labels = "b." * 20_000 + "org"
+    urls = [f"http://a.org/{steps}end", f"http://{labels}/", f"http://a.org/{steps}"]
+    entries = [
+        ("m", "block", "prefix", "a.org/x/", "add", 1),
+        ("m", "block", "prefix", f"a.org/{steps}", "add", 1),
+        ("m", "block", "prefix", f"a.org/{steps}x/", "add", 1),
+        ("n", "block", "domain", "b.b.org", "add", 1),
+        ("n", "block", "domain", labels[2:], "add", 1),
+        ("n", "block", "domain", "c.org", "add", 1),
+    ]
+    check(spark, [(i, url, 5) for i, url in enumerate(urls)], entries)
