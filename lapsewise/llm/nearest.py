@@ -12,7 +12,8 @@ rows are indexed.  Candidates of all tables are merged and ranked by exact dista
 Rows with equal vectors share one index entry that carries their smallest ids, as many
 as a result can name.  Buckets of more than ``chunk`` entries are split at random into
 parts, which a probe visits one by one, and parts are packed into groups of bounded
-size; no task sees a bucket whole.  A query that finds too few rows is searched exactly,
+size; no task sees a bucket whole.  Visits are numbers at first; those of a group are cut by
+their queries into blocks of bounded size, to which the vectors follow.  A query that finds too few rows is searched exactly,
 in blocks of bounded size.
 
 Defined results: vectors that are null, zero, hold null or non-finite components or
@@ -241,7 +242,7 @@ def _index(entries: DataFrame, hashes: Hashes, vectors: bool) -> DataFrame:
 
 
 def _probes(queries: DataFrame, hashes: Hashes) -> DataFrame:
-    """(bucket, query_id, vec): every bucket that a query visits."""
+    """(bucket, query_id): every bucket that a query visits."""
 
     def rows(batch: pa.RecordBatch) -> dict:
         vectors = _matrix(batch.column("vec"))
@@ -255,16 +256,26 @@ def _probes(queries: DataFrame, hashes: Hashes) -> DataFrame:
             buckets.append(codes)
             asked.append(np.full(len(codes), row))
         order = pa.array(np.concatenate(asked))
-        taken = {c: batch.column(c).take(order) for c in ("query_id", "vec")}
-        return {"bucket": pa.array(np.concatenate(buckets)), **taken}
+        return {"bucket": pa.array(np.concatenate(buckets)), "query_id": batch.column("query_id").take(order)}
 
-    return map_arrow(queries.select("query_id", "vec"), rows, "bucket long, query_id long, vec array<double>", 1 << 16)
+    return map_arrow(queries.select("query_id", "vec"), rows, "bucket long, query_id long", 1 << 16)
 
 
 def search(
-    rows: DataFrame, queries: Column, k: int = 10, vector: str = "embedding", chunk: int = 4096, group: int = 20_000, **options
+    rows: DataFrame,
+    queries: Column,
+    k: int = 10,
+    vector: str = "embedding",
+    chunk: int = 4096,
+    group: int = 20_000,
+    visit_group: int = 40_000,
+    **options,
 ) -> DataFrame:
-    """query_id, rank, vec_id and score: the ``k`` nearest found of each row that ``queries`` selects."""
+    """query_id, rank, vec_id and score: the ``k`` nearest found of each row that ``queries`` selects.
+
+    Cells are packed into groups of about ``group`` entries, and the visits of a pack are cut
+    by their queries into blocks of about ``visit_group``, each with the pack's entries.
+    """
     spark = rows.sparkSession
     known = stage(usable_rows(rows, vector), "vectors")
     entries = stage(_entries(known, k), "entries")
@@ -290,12 +301,19 @@ def search(
         .withColumn("part", F.pmod(F.xxhash64("ids"), F.col("parts")).cast("int"))
         .select(packed, cell.alias("cell"), "ids", "vec")
     )
-    visits = (
+    visits = stage(
         _probes(asked, hashes)
         .join(sizes, "bucket")
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select(packed, cell.alias("cell"), "query_id", "vec")
+        .select(packed, cell.alias("cell"), "query_id"),
+        "visits",
+    )
+    blocks = stage(
+        visits.groupBy("pack").agg(F.ceil(F.count(F.lit(1)) / visit_group).cast("int").alias("blocks")), "blocks"
     )
+    held = held.join(blocks, "pack").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    block = F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("block")
+    visits = visits.join(blocks, "pack").select("pack", block, "cell", "query_id").join(asked, "query_id")
 
     def rank(left: pa.Table, right: pa.Table) -> pa.Table:
         nearest = Nearest(k)
@@ -310,7 +328,8 @@ def search(
                 nearest.add(query_ids[c:d], queries[c:d], ids[a:b], vectors[a:b])
         return pa.Table.from_batches([nearest.batch()])
 
-    ranked = on_workers(held).groupBy("pack").cogroup(visits.groupBy("pack")).applyInArrow(rank, RESULT)
+    held, visits = (x.select("pack", "block", "cell", *c) for x, c in ((held, ("ids", "vec")), (visits, ("query_id", "vec"))))
+    ranked = on_workers(held).groupBy("pack", "block").cogroup(visits.groupBy("pack", "block")).applyInArrow(rank, RESULT)
     found = stage(_best(ranked, k), "found")
     full = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
     found = found.join(full, "query_id", "left_semi")
