@@ -45,6 +45,8 @@ from lapsewise.llm.common import on_workers, slices, text_bytes, texts
 
 #: A word of its own in any text that holds it; parts the words of a batch.
 SEPARATOR = "|"
+#: Hadoop's names of stores that Arrow calls otherwise.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 class WordEncoder:
@@ -112,9 +114,19 @@ def _encoder(content: str, end_id: int, words_apart: bool) -> WordEncoder:
     return WordEncoder(content, end_id, words_apart)
 
 
+def arrow_uri(path: str) -> str:
+    """The path by the scheme that Arrow knows, where Hadoop has a name of its own for a store."""
+    scheme, mark, rest = path.partition("://")
+    return f"{ARROW_SCHEMES.get(scheme, scheme)}{mark}{rest}" if mark else path
+
+
+def _located(path: str) -> tuple[pa.fs.FileSystem, str]:
+    return pa.fs.FileSystem.from_uri(arrow_uri(path))
+
+
 def _write(path: str, name: str, encoder: WordEncoder, batches: Iterator[pa.RecordBatch]) -> dict | None:
     """Writes one partition; its counts, or None when it has no documents."""
-    files, folder = pa.fs.FileSystem.from_uri(path)
+    files, folder = _located(path)
     batch = next(batches, None)
     while batch is not None and not batch.num_rows:
         batch = next(batches, None)
@@ -169,7 +181,7 @@ def write_tokens(
         before += (part["documents"], part["tokens"])
     encoder = WordEncoder(content.value, end_id)
     manifest = {"dtype": encoder.dtype.str, "end_id": end_id, "partitions": rows}
-    files, folder = pa.fs.FileSystem.from_uri(path)
+    files, folder = _located(path)
     files.create_dir(folder, recursive=True)
     with files.open_output_stream(f"{folder}/manifest.json") as out:
         out.write(json.dumps(manifest).encode())
@@ -177,7 +189,7 @@ def write_tokens(
 
 
 def read_manifest(path: str) -> dict:
-    files, folder = pa.fs.FileSystem.from_uri(path)
+    files, folder = _located(path)
     with files.open_input_stream(f"{folder}/manifest.json") as file:
         return json.loads(file.read())
 
@@ -195,7 +207,7 @@ def _numbers(file, dtype: str, start: int, stop: int) -> np.ndarray:
 
 def _blocks(path: str, dtype: str, part: dict, documents: int = 8192, tokens: int = 1 << 21):
     """Runs of a partition's documents: doc_ids with nulls, local offsets, ids."""
-    files, folder = pa.fs.FileSystem.from_uri(path)
+    files, folder = _located(path)
     base = f"{folder}/{part['name']}"
     with _open(files, f"{base}.bin") as data, _open(files, f"{base}.idx") as idx, _open(files, f"{base}.ids") as ids:
         at, named = 0, part["documents"] - part["nulls"]

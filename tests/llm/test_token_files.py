@@ -113,3 +113,13 @@ def test_whole_texts(spark, tmp_path):
     other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     got = [r["ids"] for r in token_files.read_tokens(spark, path).orderBy("start").collect()]
     assert got == [[*other.encode(t, add_special_tokens=False).ids, 50256] for t in ("some words", "", "more")]
+
+
+def test_paths_of_stores():
+    """Stores by the names that Hadoop and Arrow give them; a store's own path stays."""
+    assert token_files.arrow_uri("s3a://bucket/a/b") == "s3://bucket/a/b"
+    assert token_files.arrow_uri("s3n://bucket/a") == "s3://bucket/a"
+    for path in ("gs://bucket/a", "hdfs://host:8020/a", "file:///tmp/a", "/tmp/a://b", "/tmp/a"):
+        assert token_files.arrow_uri(path) == path
+    files, folder = token_files._located("s3a://bucket/a/b?region=none&scheme=http&endpoint_override=localhost:1")
+    assert (files.type_name, folder) == ("s3", "bucket/a/b")
