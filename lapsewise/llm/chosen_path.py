@@ -11,15 +11,20 @@ of independent trees that find a pair of the threshold's similarity with the tar
 recall even if every node on its way is branched ``depth`` times.
 
 Large groups of copies stay linear: before anything is branched or compared, every set of
-a node meets the node's first set only.  What is linked then needs no further
-comparison among itself: nodes of one component are done, and pairs within a component are
-passed over.  A component that fills chunks has chunks of its own, which do not meet.
-
-Pairs are first compared by sketch, one byte of each minimum: those more than six
+a node meets the node's first set only, and what that leaves apart meets one set of the
+node's biggest component.  What is linked then needs no further comparison among itself:
+nodes of one component are done, and pairs within a component are passed over.  A node that
+is mostly one component is not branched, since its sets would stay together: a component
+that fills chunks has chunks of its own, which do not meet, and the other sets meet each.
+Small nodes with the same members, from several trees, are one.
+
+Sets are first compared by sketch, one byte of each minimum: pairs more than five
 standard deviations below the threshold's agreement (for 256 bytes: below a similarity of
-about 0.71) are dropped; one of 10^9 pairs at the threshold is.  The others are confirmed
-on the full sets.  Only numbers and sketches are shuffled up to there; sets of the texts
-in question are made again from the texts.
+about 0.74) are dropped, less than one in a million of those at the threshold.  The others
+are confirmed on the full sets, made again from the texts: with the first set of a node as
+pairs, which are fewer than the members of nodes, and within a cell by intersections of all
+sets that had a near sketch there, of which a spanning forest of the links is handed on.
+So what is written grows with the members of nodes, not with the pairs of a group.
 
 Defined results: a text without words (also null) has no shingles and is linked with
 nothing; fewer words than a shingle's are one shingle; a component's id is its smallest
@@ -30,7 +35,7 @@ that repeat each get a row; columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +53,10 @@ HASHES = 256
 SMALL = 250_000
 #: The chunks that small components share; components have numbers from 0 on.
 COMMON = -1
+#: Chunks of other sets that a component's chunks meet without the node being branched first.
+DENSE = 8
+#: Leaves' worth of members in all that are compared without being branched any further.
+FEW = 128
 STEP = 1 << 11
 WORD = np.uint64
 _draw = np.random.default_rng(SEED)
@@ -139,7 +148,7 @@ def branched(nodes: np.ndarray, sketches: np.ndarray, threshold: float) -> tuple
 # -- comparisons --------------------------------------------------------------------------
 
 
-def fewest_equal(threshold: float, deviations: float = 6.0) -> int:
+def fewest_equal(threshold: float, deviations: float = 5.0) -> int:
     """Bytes of a sketch on which a pair must agree to be worth confirming."""
     p = threshold + (1 - threshold) / 256
     return math.floor(HASHES * p - deviations * math.sqrt(HASHES * p * (1 - p)))
@@ -241,11 +250,22 @@ def _sizes_allow(a: str, b: str, percent: int):
 
 def first_pairs(members: DataFrame, percent: int) -> DataFrame:
     """(a, b): every set of a node with the node's first, where sizes allow a link."""
-    first = members.groupBy("node").agg(F.min("s").alias("a"), F.min_by("n", "s").alias("m"))
+    first = stage(members.groupBy("node").agg(F.min("s").alias("a"), F.min_by("n", "s").alias("m")), "first-sets")
     met = members.join(first, "node").where((F.col("s") > F.col("a")) & _sizes_allow("n", "m", percent))
     return met.select("a", F.col("s").alias("b")).distinct()
 
 
+def pairs_with_biggest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): a set of each node's biggest component, drawn by hash, with every set there of another component."""
+    size = F.count(F.lit(1)).alias("n")
+    kinds = members.groupBy("node", "component").agg(size, F.min_by("s", F.xxhash64("node", "s")).alias("a"))
+    kept = [F.max_by(c, F.struct("n", "component")).alias(x) for c, x in (("a", "a"), ("component", "biggest"))]
+    drawn = stage(kinds.groupBy("node").agg(*kept, F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "drawn-sets")
+    met = members.join(drawn, "node").where("component <> biggest").select("a", F.col("s").alias("b")).distinct()
+    one, other = sets.select(F.col("s").alias("a"), F.col("n")), sets.select(F.col("s").alias("b"), F.col("n").alias("m"))
+    return met.join(one, "a").join(other, "b").where(_sizes_allow("n", "m", percent)).select("a", "b")
+
+
 def _with_both(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
     """Pairs with ``column`` of both sides, as ``left`` and ``right``."""
     one = held.select(F.col("s").alias("a"), F.col(column).alias("left"))
@@ -264,11 +284,9 @@ def sketched_alike(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return map_arrow(_with_both(pairs, sets, "sketch"), rows, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, documents: DataFrame, sets: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar by their full sets."""
-    pairs = stage(pairs, "alike")
-    asked = pairs.select(F.col("a").alias("s")).union(pairs.select(F.col("b").alias("s"))).distinct()
-    asked = stage(sets.select("s", *row_key(hashed="text_hash")).join(asked, "s", "left_semi"), "asked-sets")
+def full_sets(asked: DataFrame, documents: DataFrame, sets: DataFrame, shingle: int) -> DataFrame:
+    """(s, tokens): the sets ``asked`` for, made again from their texts and written."""
+    asked = stage(sets.select("s", *row_key(hashed="text_hash")).join(asked.distinct(), "s", "left_semi"), "asked-sets")
     rows = documents.select(text_bytes(), *row_key())
     found = rows.join(F.broadcast(asked) if asked.count() <= SMALL else asked, ["_id", "_hash"])
 
@@ -276,21 +294,45 @@ def confirmed(pairs: DataFrame, documents: DataFrame, sets: DataFrame, shingle:
         made = [shingles(t, shingle).tobytes() for t in texts(batch)]
         return {"s": batch.column("s"), "tokens": pa.array(made, pa.binary())}
 
+    # A row that repeats is one text.
+    return stage(map_arrow(found.select("s", "text"), tokens, "s long, tokens binary").dropDuplicates(["s"]), "full-sets")
+
+
+def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar by their full sets."""
+
     def judged(batch: pa.RecordBatch) -> dict:
         sides = zip(*(batch.column(c).to_pylist() for c in ("left", "right")))
         near = [similar(np.frombuffer(x, WORD), np.frombuffer(y, WORD), percent) for x, y in sides]
         kept = batch.filter(pa.array(near, pa.bool_()))
         return {"a": kept.column("a"), "b": kept.column("b")}
 
-    # A row that repeats is one text.
-    full = map_arrow(found.select("s", "text"), tokens, "s long, tokens binary").dropDuplicates(["s"])
-    return map_arrow(_with_both(pairs, stage(full, "full-sets"), "tokens"), judged, "a long, b long")
+    return map_arrow(_with_both(pairs, full, "tokens"), judged, "a long, b long")
+
+
+def _once(nodes: DataFrame, leaf: int) -> DataFrame:
+    """(node, held, biggest): of small nodes with the same members, which different trees come to, one.
+
+    Staged, so that a node with very many sets can be split where it is joined.
+    """
+    small = nodes.where(F.col("held") <= leaf).groupBy("held", "mark").agg(F.min("node").alias("node"))
+    small = small.select("node", "held", F.lit(0).cast("long").alias("biggest"))
+    return stage(small.unionByName(nodes.where(F.col("held") > leaf).select("node", "held", "biggest")), "nodes")
+
 
+def crowded_nodes(nodes: DataFrame, leaf: int) -> DataFrame:
+    """(node): nodes of more than one set."""
+    held = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("held"), F.bit_xor(F.xxhash64("s")).alias("mark"))
+    return _once(held.where("held > 1").withColumn("biggest", F.lit(1).cast("long")), leaf).select("node")
 
-def _open_nodes(members: DataFrame) -> DataFrame:
-    """(node, held): nodes of more than one component."""
-    span = (F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("held"))
-    return members.groupBy("node").agg(*span).where("low < high").select("node", "held")
+
+def _open_nodes(members: DataFrame, leaf: int) -> DataFrame:
+    """(node, held, biggest): nodes of more than one component; how many sets the biggest one has in a large node."""
+    kinds = members.groupBy("node", "component").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("s")).alias("mark"))
+    nodes = kinds.groupBy("node").agg(
+        F.sum("n").alias("held"), F.max("n").alias("biggest"), F.bit_xor("mark").alias("mark")
+    )
+    return _once(nodes.where("biggest < held"), leaf)
 
 
 def _branches(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -309,15 +351,15 @@ def _branches(members: DataFrame, sets: DataFrame, threshold: float) -> DataFram
     return map_arrow(source, rows, "node long, s long, component long")
 
 
-def _chunked(members: DataFrame, leaf: int) -> DataFrame:
+def _chunked(members: DataFrame, size: int) -> DataFrame:
     """(cell, side, s, component) for nodes too large to be compared at once.
 
     Sets of small components are dealt to common chunks, a component of more than a chunk
     has chunks of its own.  Every pair of chunks is a cell, but for two of one component.
     """
     held = members.groupBy("node", "component").agg(F.count(F.lit(1)).alias("held"))
-    kind = F.when(F.col("held") > leaf, F.col("component")).otherwise(COMMON).alias("kind")
-    kinds = held.groupBy("node", kind).agg(F.ceil(F.sum("held") / leaf).cast("int").alias("chunks"))
+    kind = F.when(F.col("held") > size, F.col("component")).otherwise(COMMON).alias("kind")
+    kinds = held.groupBy("node", kind).agg(F.ceil(F.sum("held") / size).cast("int").alias("chunks"))
     kinds = stage(kinds, "chunks")
     large = kinds.where(F.col("kind") != COMMON).select("node", F.col("kind").alias("component"), F.lit(1).alias("large"))
     dealt = members.join(large, ["node", "component"], "left").withColumn(
@@ -343,63 +385,135 @@ def cells(members: DataFrame, sets: DataFrame, threshold: float, depth: int, lea
     """(cell, side, s, component): what is compared exhaustively, from the members of the first nodes."""
     parts = []
     for level in range(1, depth + 1):
-        members = stage(members, "members")
-        open_ = members.join(_open_nodes(members), "node")
+        open_ = stage(members.join(_open_nodes(members, leaf), "node"), "open-members")
         small = open_.where(F.col("held") <= leaf)
         parts.append(small.select(F.col("node").alias("cell"), F.lit(-1).alias("side"), "s", "component"))
-        large = open_.where(F.col("held") > leaf).drop("held")
-        if large.isEmpty():
+        large = open_.where(F.col("held") > leaf)
+        # Branching does not part what is alike: the sets beside a component that is most of a
+        # node meet its chunks at once, unless they fill many chunks themselves.
+        beside = F.col("held") - F.col("biggest")
+        dense = F.lit(level == depth) | ((beside <= F.col("biggest")) & (beside <= DENSE * leaf))
+        rest = large.where(~dense)
+        last = rest.count() <= FEW * leaf  # not worth more levels
+        parts.append(_chunked((large if last else large.where(dense)).select("node", "s", "component"), 2 * leaf))
+        if last:
             break
-        if level < depth:
-            members = _branches(large, sets, threshold)
-        else:
-            parts.append(_chunked(stage(large, "large-nodes"), leaf))
+        members = stage(_branches(rest.select("node", "s", "component"), sets, threshold), "members")
     made = parts[0]
     for part in parts[1:]:
         made = made.union(part)
     return made
 
 
-def compared(dealt: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
-    """(a, b): pairs within cells that sketches do not tell apart and no component links yet."""
-    source = (
-        dealt.join(sets.select("s", "n", "sketch"), "s")
-        .select("cell", F.col("side").cast("long").alias("side"), "s", "component", "n", "sketch")
-        .repartition("cell")
-        .sortWithinPartitions("cell")
-    )
-
-    def found(rows: np.ndarray, sketches: list[bytes]) -> pa.RecordBatch:
-        cell, side, s, component, n = rows
-        sketch = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, HASHES)
-        starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-        links = [np.zeros((0, 2), np.int64)]
-        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(cell)]):
-            if b - a > 1:
-                i, j = pairs_in_cell(side[a:b], component[a:b], n[a:b], percent)
-                near = close_pairs(sketch[a:b][i], sketch[a:b][j], least) if len(i) else np.zeros(0, bool)
-                links.append(np.column_stack([s[a:b][i[near]], s[a:b][j[near]]]))
-        pairs = np.unique(np.sort(np.concatenate(links), axis=1), axis=0)
-        return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+def _by_cell(dealt: DataFrame, columns: list[str], done: Callable[..., pa.RecordBatch], schema: str, rows: int) -> DataFrame:
+    """``done(numbers, column)`` on whole cells, at least ``rows`` rows at once: cell, side, s, component, n, and the last column."""
+    source = dealt.withColumn("side", F.col("side").cast("long")).select(*columns)
+    source = source.repartition("cell").sortWithinPartitions("cell")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Whole cells gather, so that a batch of them is compared at once.
         held: list[np.ndarray] = []
-        sketches: list[bytes] = []
+        last_column: list[bytes] = []
         for batch in slices(batches):
-            held.append(np.stack([batch.column(c).to_numpy() for c in ("cell", "side", "s", "component", "n")]))
-            sketches += batch.column("sketch").to_pylist()
-            if len(sketches) >= 1 << 15:
-                rows = np.concatenate(held, axis=1)
-                last = np.flatnonzero(rows[0] != rows[0, -1])
-                cut = int(last[-1]) + 1 if len(last) else 0
+            held.append(np.stack([batch.column(c).to_numpy() for c in columns[:-1]]))
+            last_column += batch.column(columns[-1]).to_pylist()
+            if len(last_column) >= rows:
+                numbers = np.concatenate(held, axis=1)
+                others = np.flatnonzero(numbers[0] != numbers[0, -1])
+                cut = int(others[-1]) + 1 if len(others) else 0
                 if cut:
-                    yield found(rows[:, :cut], sketches[:cut])
-                held, sketches = [rows[:, cut:]], sketches[cut:]
-        if sketches:
-            yield found(np.concatenate(held, axis=1), sketches)
+                    yield done(numbers[:, :cut], last_column[:cut])
+                held, last_column = [numbers[:, cut:]], last_column[cut:]
+        if last_column:
+            yield done(np.concatenate(held, axis=1), last_column)
+
+    return on_workers(source).mapInArrow(run, schema)
 
-    return on_workers(source).mapInArrow(run, "a long, b long").distinct()
+
+def _cuts(cell: np.ndarray) -> Iterator[tuple[int, int]]:
+    starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]).tolist()
+    return ((a, b) for a, b in zip(starts, [*starts[1:], len(cell)]) if b - a > 1)
+
+
+def sketched_cells(dealt: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
+    """The members of cells that agree on ``least`` bytes with another, whom no component links with them yet.
+
+    What is left of a cell gets a number made from its members, so that cells of several
+    trees that come to the same are one.
+    """
+
+    def done(numbers: np.ndarray, sketches: list[bytes]) -> pa.RecordBatch:
+        cell, side, s, component, n = numbers
+        sketch = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, HASHES)
+        kept, named = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a, b in _cuts(cell):
+            i, j = pairs_in_cell(side[a:b], component[a:b], n[a:b], percent)
+            if not len(i):
+                continue
+            near = close_pairs(sketch[a:b][i], sketch[a:b][j], least)
+            rows = np.unique(np.concatenate([i[near], j[near]])) + a
+            if len(rows):
+                rows = rows[np.argsort(s[rows])]
+                name = xxhash.xxh64_intdigest(np.stack([s[rows], side[rows]]).tobytes(), SEED) >> 1
+                kept.append(rows)
+                named.append(np.full(len(rows), name))
+        at = np.concatenate(kept)
+        columns = {"cell": np.concatenate(named), "side": side[at], "s": s[at], "component": component[at], "n": n[at]}
+        return pa.RecordBatch.from_pydict({c: pa.array(v) for c, v in columns.items()})
+
+    source = dealt.join(sets.select("s", "n", "sketch"), "s")
+    schema = "cell long, side long, s long, component long, n long"
+    return _by_cell(source, ["cell", "side", "s", "component", "n", "sketch"], done, schema, 1 << 15).distinct()
+
+
+def links_in_cell(
+    sides: np.ndarray, components: np.ndarray, tokens: list[np.ndarray], percent: int, width: int = 1 << 12
+) -> list[tuple[int, int]]:
+    """A spanning forest of the links between different components, by the full sets."""
+    sizes = np.array([len(t) for t in tokens])
+    owner = np.repeat(np.arange(len(tokens)), sizes)
+    held, at, times = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+    # Tokens of one set alone are in no intersection.
+    column = np.cumsum(times > 1) - 1
+    shared = times[at] > 1
+    owner, at = owner[shared], column[at[shared]]
+    both = np.zeros((len(tokens), len(tokens)), np.float32)
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, width):
+        a, b = np.searchsorted(at, [low, low + width])
+        part = np.zeros((len(tokens), width), np.float32)
+        part[owner[a:b], at[a:b] - low] = 1
+        both += part @ part.T
+    both = both.astype(np.int64)
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    if sides[0] >= 0:
+        linked &= sides[:, None] != sides[None, :]
+    root = np.unique(components, return_inverse=True)[1]
+    links = []
+    for row in range(len(tokens)):
+        for other in np.flatnonzero(linked[row] & (root != root[row])).tolist():
+            if root[other] != root[row]:
+                root[root == root[other]] = root[row]
+                links.append((row, other))
+    return links
+
+
+def linked_cells(dealt: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """(a, b): spanning forests of the links within cells, by the full sets."""
+
+    def done(numbers: np.ndarray, data: list[bytes]) -> pa.RecordBatch:
+        cell, side, s, component, _ = numbers
+        tokens = [np.frombuffer(x, WORD) for x in data]
+        found = [
+            (s[a + i], s[a + j])
+            for a, b in _cuts(cell)
+            for i, j in links_in_cell(side[a:b], component[a:b], tokens[a:b], percent)
+        ]
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    columns = ["cell", "side", "s", "component", "n", "tokens"]
+    return _by_cell(dealt.join(full, "s"), columns, done, "a long, b long", 1 << 10).distinct()
 
 
 def components(
@@ -408,17 +522,29 @@ def components(
     """(s, root): the smallest set that each linked set reaches."""
     percent, least = _percent(threshold), fewest_equal(threshold)
     nodes = sets.select("s", "n", F.explode("nodes").alias("node"))
-    crowded = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("node")
-    members = stage(nodes.join(crowded, "node"), "first-nodes")
-
-    near = sketched_alike(first_pairs(members, percent), sets, least)
-    links = stage(confirmed(near, documents, sets, shingle, percent), "first-links")
-    roots = connected(links)
-
-    known = roots.select(F.col("node").alias("s"), "root")
-    members = members.join(known, "s", "left").select("node", "s", F.coalesce("root", "s").alias("component"))
-    near = compared(cells(members, sets, threshold, depth, leaf), sets, percent, least)
-    more = confirmed(near, documents, sets, shingle, percent)
+    members = stage(nodes.join(crowded_nodes(nodes, leaf), "node"), "first-nodes")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        near = stage(sketched_alike(pairs, sets, least), "near-pairs")
+        asked = near.select(F.col("a").alias("s")).union(near.select(F.col("b").alias("s")))
+        return stage(confirmed(near, full_sets(asked, documents, sets, shingle), percent), "links")
+
+    def placed(links: DataFrame) -> DataFrame:
+        """Members with a set of their component: of each set's neighbours and theirs the smallest by two steps.
+
+        What has the same one is linked; that some of a component has another only costs comparisons.
+        """
+        ends = links.union(links.select("b", "a")).toDF("s", "other").groupBy("s").agg(F.min("other").alias("root"))
+        near = stage(ends.select("s", F.least("s", "root").alias("root")), "neighbours")
+        further = near.select(F.col("s").alias("root"), F.col("root").alias("further"))
+        known = near.join(further, "root", "left").select("s", F.coalesce("further", "root").alias("root"))
+        return stage(members.join(known, "s", "left").select("node", "s", F.coalesce("root", "s").alias("component")), "members")
+
+    links = linked(first_pairs(members, percent))
+    links = links.union(linked(pairs_with_biggest(placed(links), sets, percent)))
+    dealt = cells(placed(links), sets, threshold, depth, leaf)
+    open_ = stage(sketched_cells(dealt, sets, percent, least), "open-cells")
+    more = linked_cells(open_, full_sets(open_.select("s"), documents, sets, shingle), percent)
     return connected(links.union(more)).select(F.col("node").alias("s"), "root")
 
 

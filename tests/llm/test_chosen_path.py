@@ -80,9 +80,10 @@ def groups(seed):
     return texts
 
 
-@pytest.mark.parametrize("settings", [{}, {"leaf": 8}, {"leaf": 4, "depth": 2}])
-def test_groups_of_copies(spark, settings):
+@pytest.mark.parametrize("few, settings", [(128, {}), (0, {"leaf": 8}), (0, {"leaf": 4, "depth": 2}), (2, {"leaf": 6})])
+def test_groups_of_copies(spark, monkeypatch, few, settings):
     """Also with nodes so small that nearly all are branched, and at last cut into chunks."""
+    monkeypatch.setattr(chosen_path, "FEW", few)
     df = frame(spark, corpus.rows(groups(5)), corpus.DDL).repartition(5)
     rows = check(df, **settings)
     assert len({c for _, _, c, _ in rows}) < len(rows)
@@ -137,9 +138,48 @@ def test_large_groups_are_linked_without_their_pairs(spark):
     members = spark.range(1000).select(F.lit(7).cast("long").alias("node"), F.col("id").alias("s"), F.lit(50).cast("long").alias("n"))
     assert chosen_path.first_pairs(members, 85).count() == 999
     one = members.select("node", "s", F.lit(0).cast("long").alias("component"))
-    assert chosen_path._open_nodes(one).count() == 0
+    assert chosen_path._open_nodes(one, 64).count() == 0
     mixed = one.withColumn("component", F.when(F.col("s") < 990, 0).otherwise(F.col("s")))
     cells = chosen_path._chunked(mixed, 64).groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("component").alias("c"))
     rows = cells.collect()
     # 16 chunks of the large component, each against the one common chunk, and that with itself.
     assert len(rows) == 17 and all(r["n"] <= 128 and r["c"] > 1 for r in rows)
+
+
+@pytest.mark.parametrize("two_sides", [False, True])
+def test_cells_link_by_full_sets(two_sides):
+    """The forest connects what all links connect, and nothing that a component had linked before."""
+    draw = random.Random(11)
+    base = [draw.sample(range(10**6), draw.randint(20, 60)) for _ in range(4)]
+    sets = [set(draw.choice(base)) for _ in range(40)]
+    sets = [{x for x in s if draw.random() < 0.97} | {draw.randrange(10**6) for _ in range(draw.randint(0, 3))} for s in sets]
+    sides = np.array([draw.randint(0, 1) for _ in sets]) if two_sides else np.full(len(sets), -1)
+    components = np.array([draw.choice([i, 3]) if i % 5 == 0 else i for i in range(len(sets))])
+
+    def joined(links):
+        group = components.copy()
+        for i, j in links:
+            group[group == group[j]] = group[i]
+        return [tuple(np.flatnonzero(group == g)) for g in sorted(set(group.tolist()))]
+
+    every = [
+        (i, j)
+        for i, a in enumerate(sets)
+        for j, b in enumerate(sets)
+        if i < j and (not two_sides or sides[i] != sides[j]) and 100 * len(a & b) >= 85 * len(a | b)
+    ]
+    tokens = [np.array(sorted(s), np.uint64) for s in sets]
+    links = chosen_path.links_in_cell(sides, components, tokens, 85, width=64)
+    assert sorted(joined(links)) == sorted(joined(every))
+    assert len(links) == len(set(components.tolist())) - len(joined(every)) > 0
+
+
+def test_what_cells_hand_on_grows_with_their_members(spark):
+    """300 sets whose pairs all look alike and none of which is linked: members are handed on, not pairs."""
+    sketch = bytes(range(256))
+    sets = spark.range(300).select(F.col("id").alias("s"), F.lit(100).cast("long").alias("n"), F.lit(bytearray(sketch)).alias("sketch"))
+    dealt = sets.select(F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("cell"), F.lit(-1).alias("side"), "s", F.col("s").alias("component"))
+    held = chosen_path.sketched_cells(dealt, sets, 85, 200)
+    assert held.count() == 300  # the two cells are the same
+    full = sets.select("s", F.unhex(F.lpad(F.hex("s"), 16, "0")).alias("tokens"))
+    assert chosen_path.linked_cells(held, full, 85).count() == 0
