@@ -8,7 +8,8 @@ begin some longer token.  A state of the transducer therefore holds the boundari
 that still matter with the tokens that lead to them, from the last boundary that
 all of them share; a byte leads to a new state and emits the tokens up to its
 shared boundary.  So tokens come out after a lookahead bounded by the longest token.
-States are made when first reached and kept, up to a bound.
+States are made when first reached and kept, up to a bound; at the bound those farthest
+from the start go, since nearly all pieces pass those near it.
 
 Decoding streams, too: a token takes an incremental UTF-8 automaton from the bytes of
 an unfinished character to the next such bytes and emits the characters finished.
@@ -36,6 +37,9 @@ from lapsewise.llm.common import map_arrow
 
 NEVER = 1 << 60
 START = -1  # "last token" of the boundary at which a piece begins
+ROOT, NO_TOKEN = 0, -1
+PAIR = 32  # bits of a token in the number of a pair
+MOST_KNOWN = 300_000
 
 
 class Merges:
@@ -45,11 +49,24 @@ class Merges:
         pairs = (line.split() for line in content.splitlines() if line)
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.prefixes = {t[:n] for t in self.ranks for n in range(1, len(t))}
+        # Tokens as a trie: a node's child by a byte, the token that ends at a node, and whether longer ones go on.
+        self.children: dict[int, int] = {}
+        self.ending, self.longer = [NO_TOKEN], [True]
+        for token, rank in self.ranks.items():
+            node = ROOT
+            for byte in token:
+                self.longer[node] = True
+                step = node << 8 | byte
+                node = self.children.get(step, ROOT)
+                if node == ROOT:
+                    node = self.children[step] = len(self.ending)
+                    self.ending.append(NO_TOKEN)
+                    self.longer.append(False)
+            self.ending[node] = rank
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._right: dict[int, list[tuple[int, int]]] = {}
         self._left: dict[int, list[tuple[int, int]]] = {}
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; None for a byte or a token no merges make."""
@@ -85,7 +102,9 @@ class Merges:
 
     def apart(self, a: int, b: int) -> bool:
         """Whether ``b`` can follow ``a`` (or begin a piece, after START)."""
-        found = self.known[a, b] = self.reachable(b) and (a == START or not self._crosses(a, b))
+        if len(self.known) >= MOST_KNOWN:
+            self.known.clear()
+        found = self.known[a << PAIR | b] = self.reachable(b) and (a == START or not self._crosses(a, b))
         return found
 
     def _crosses(self, a: int, b: int) -> bool:
@@ -109,12 +128,12 @@ class Merges:
 class State:
     """The boundaries that still matter, the present end of the text last.
 
-    Each is (bytes after it, token before it, tokens from the shared boundary to it).
+    Each is (trie node of the bytes after it, token before it, tokens from the shared boundary to it).
     """
 
     __slots__ = ("live", "next")
 
-    def __init__(self, live: tuple[tuple[bytes, int, tuple[int, ...]], ...]):
+    def __init__(self, live: tuple[tuple[int, int, tuple[int, ...]], ...]):
         self.live = live
         self.next: dict[int, tuple[State, tuple[int, ...]]] = {}
 
@@ -122,45 +141,61 @@ class State:
 class Encoder:
     """Encodes pieces; ``max_states`` and ``max_pieces`` bound what is kept between them."""
 
-    def __init__(self, content: bytes, pattern: str, max_states: int = 90_000, max_pieces: int = 200_000):
+    def __init__(self, content: bytes, pattern: str, max_states: int = 250_000, max_pieces: int = 200_000):
         self.merges = Merges(content)
         self.pieces = regex.compile(pattern).findall
         self.max_states, self.max_pieces = max_states, max_pieces
         # Pieces met lately and those met before; the former take over when full.
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.merges.known.clear()
-        self.start = State(((b"", START, ()),))
+        self.start = State(((ROOT, START, ()),))
         self.states = {self.start.live: self.start}
 
+    def _prune(self) -> None:
+        """Keeps the half of the states that is nearest to the start."""
+        near = [self.start]
+        kept = {self.start.live: self.start}
+        for state in near:
+            for byte, (to, _) in list(state.next.items()):
+                if kept.get(to.live) is not to:
+                    if 2 * len(near) >= self.max_states:
+                        del state.next[byte]
+                        continue
+                    kept[to.live] = to
+                    near.append(to)
+        self.states = kept
+
     def _step(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
         merges, end, live = self.merges, None, []
-        ranks, prefixes, known, char = merges.ranks, merges.prefixes, merges.known, bytes((byte,))
-        for begun, before, way in state.live:
-            begun += char
-            if end is None and (token := ranks.get(begun)) is not None:
-                apart = known.get((before, token))
+        children, ending, longer, known = merges.children, merges.ending, merges.longer, merges.known
+        for node, before, way in state.live:
+            node = children.get(node << 8 | byte)
+            if node is None:
+                continue
+            if end is None and (token := ending[node]) >= 0:
+                apart = known.get(before << PAIR | token)
                 if merges.apart(before, token) if apart is None else apart:
-                    end = (b"", token, (*way, token))
-            if begun in prefixes:
-                live.append((begun, before, way))
+                    end = (ROOT, token, (*way, token))
+            if longer[node]:
+                live.append((node, before, way))
         live.append(end)
         # What all ways share is certain.
         first, shared = live[0][2], 0
         for token in first:
-            if any(len(way) <= shared or way[shared] != token for _, _, way in live):
-                break
-            shared += 1
+            for _, _, way in live:
+                if len(way) <= shared or way[shared] != token:
+                    break
+            else:
+                shared += 1
+                continue
+            break
         if shared:
-            live = [(begun, before, way[shared:]) for begun, before, way in live]
+            live = [(node, before, way[shared:]) for node, before, way in live]
         key = tuple(live)
         to = self.states.get(key)
         if to is None:
             if len(self.states) >= self.max_states:
-                self._clear()
+                self._prune()
             to = self.states[key] = State(key)
         step = state.next[byte] = to, first[:shared]
         return step
