@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import map_arrow
+from lapsewise.llm.common import KEPT, map_arrow
 
 NEVER = 1 << 60
 START = -1  # "last token" of the boundary at which a piece begins
@@ -308,11 +308,14 @@ class Decoder:
 
 @lru_cache(maxsize=2)
 def coders(content: bytes, pattern: str) -> tuple[Encoder, Decoder]:
-    """One pair a worker process; the bounds hold for all its tasks together."""
+    """One pair a worker process; the bounds hold for all its tasks together, until it works for another operator."""
     encoder = Encoder(content, pattern)
     return encoder, Decoder(encoder.merges.tokens)
 
 
+KEPT[__name__] = (lambda: coders.cache_info().currsize, coders.cache_clear)
+
+
 # -- on Spark ---------------------------------------------------------------------------
 
 
@@ -341,7 +344,7 @@ def encode(documents: DataFrame, path: str | None = None, pattern: str = public_
         return {"doc_id": batch.column("doc_id"), "ids": _lists([encoder.encode(t) for t in _texts(batch)])}
 
     source = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    return map_arrow(source, rows, "doc_id long, ids array<int>", 4 << 20)
+    return map_arrow(source, rows, "doc_id long, ids array<int>", 4 << 20, __name__)
 
 
 def decode(tokens: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -353,7 +356,7 @@ def decode(tokens: DataFrame, path: str | None = None, pattern: str = public_tok
         decoded = [decoder.decode(ids or ()) for ids in batch.column("ids").to_pylist()]
         return {"doc_id": batch.column("doc_id"), "decoded": pa.array(decoded, pa.binary())}
 
-    return map_arrow(tokens.select("doc_id", "ids"), rows, "doc_id long, decoded binary", 4 << 20)
+    return map_arrow(tokens.select("doc_id", "ids"), rows, "doc_id long, decoded binary", 4 << 20, __name__)
 
 
 def round_trip(documents: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -367,7 +370,7 @@ def round_trip(documents: DataFrame, path: str | None = None, pattern: str = pub
         return {"doc_id": batch.column("doc_id"), "ids": _lists(ids), "decoded": pa.array(decoded, pa.binary())}
 
     source = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    return map_arrow(source, rows, "doc_id long, ids array<int>, decoded binary", 4 << 20)
+    return map_arrow(source, rows, "doc_id long, ids array<int>, decoded binary", 4 << 20, __name__)
 
 
 def digests(tokens: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import excerpt, held_out, map_arrow, on_workers, released, sampled, seeded, slices
+from lapsewise.llm.common import excerpt, forget_others, held_out, map_arrow, on_workers, released, sampled, seeded, slices
 from lapsewise.sources import stage
 
 SPECTRUM = 3
@@ -218,6 +218,7 @@ def keep_known(documents: DataFrame, model: KernelModel) -> DataFrame:
 
     # Only texts go to the workers; rows wait in the JVM for what they say.
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        forget_others()
         return released(known(columns))
 
     return on_workers(documents).where(F.arrow_udf(run, "boolean")(F.col("text").cast("string")))

@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from local import frame
 
 from lapsewise.llm import byte_bpe
+from lapsewise.llm.common import forget_others, map_arrow
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 with open(PATH, "rb") as file:
@@ -106,3 +107,15 @@ def test_encode_then_decode(spark):
     df = frame(spark, corpus.rows(["héllo wörld", None, ""]), corpus.DDL)
     decoded = byte_bpe.decode(byte_bpe.encode(df)).collect()
     assert sorted((r["doc_id"], bytes(r["decoded"]).decode()) for r in decoded) == [(0, "héllo wörld"), (1, ""), (2, "")]
+
+
+def test_other_work_drops_the_coders(spark):
+    documents = frame(spark, corpus.rows(["one text", "two texts"] * 8), corpus.DDL).repartition(4)
+    held = lambda batch: {"n": [byte_bpe.coders.cache_info().currsize] * batch.num_rows}
+    assert byte_bpe.round_trip(documents).count() == 16
+    assert {r["n"] for r in map_arrow(documents.select("doc_id"), held, "n long").collect()} == {0}
+    byte_bpe.coders(CONTENT, public_tokenizers.PATTERN)
+    forget_others(byte_bpe.__name__)
+    assert byte_bpe.coders.cache_info().currsize > 0
+    forget_others()
+    assert byte_bpe.coders.cache_info().currsize == 0
