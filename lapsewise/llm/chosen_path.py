@@ -24,7 +24,8 @@ about 0.74) are dropped, less than one in a million of those at the threshold.
 are confirmed on the full sets, made again from the texts: with the first set of a node as
 pairs, which are fewer than the members of nodes, and within a cell by intersections of all
 sets that had a near sketch there, of which a spanning forest of the links is handed on.
-So what is written grows with the members of nodes, not with the pairs of a group.
+So what is written grows with the members of nodes, not with the pairs of a group, and goes
+once nothing reads it any more.
 
 Defined results: a text without words (also null) has no shingles and is linked with
 nothing; fewer words than a shingle's are one shingle; a component's id is its smallest
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.llm.common import map_arrow, on_workers, row_key, slices, text_bytes, text_hash, texts
 from lapsewise.llm.simhash import connected
-from lapsewise.sources import stage
+from lapsewise.sources import stage, unstage
 
 SEED = 42
 HASHES = 256
@@ -381,11 +382,16 @@ def _chunked(members: DataFrame, size: int) -> DataFrame:
     )
 
 
-def cells(members: DataFrame, sets: DataFrame, threshold: float, depth: int, leaf: int) -> DataFrame:
-    """(cell, side, s, component): what is compared exhaustively, from the members of the first nodes."""
-    parts = []
+def cells(
+    members: DataFrame, sets: DataFrame, threshold: float, depth: int, leaf: int
+) -> tuple[DataFrame, list[DataFrame]]:
+    """(cell, side, s, component): what is compared exhaustively, from the members of the first nodes,
+    which are unstaged, and the staged frames that this reads."""
+    parts, staged = [], []
     for level in range(1, depth + 1):
         open_ = stage(members.join(_open_nodes(members, leaf), "node"), "open-members")
+        unstage(members)
+        staged.append(open_)
         small = open_.where(F.col("held") <= leaf)
         parts.append(small.select(F.col("node").alias("cell"), F.lit(-1).alias("side"), "s", "component"))
         large = open_.where(F.col("held") > leaf)
@@ -402,7 +408,7 @@ def cells(members: DataFrame, sets: DataFrame, threshold: float, depth: int, lea
     made = parts[0]
     for part in parts[1:]:
         made = made.union(part)
-    return made
+    return made, staged
 
 
 def _by_cell(dealt: DataFrame, columns: list[str], done: Callable[..., pa.RecordBatch], schema: str, rows: int) -> DataFrame:
@@ -527,7 +533,10 @@ def components(
     def linked(pairs: DataFrame) -> DataFrame:
         near = stage(sketched_alike(pairs, sets, least), "near-pairs")
         asked = near.select(F.col("a").alias("s")).union(near.select(F.col("b").alias("s")))
-        return stage(confirmed(near, full_sets(asked, documents, sets, shingle), percent), "links")
+        full = full_sets(asked, documents, sets, shingle)
+        links = stage(confirmed(near, full, percent), "links")
+        unstage(near, full)
+        return links
 
     def placed(links: DataFrame) -> DataFrame:
         """Members with a set of their component: of each set's neighbours and theirs the smallest by two steps.
@@ -541,11 +550,19 @@ def components(
         return stage(members.join(known, "s", "left").select("node", "s", F.coalesce("root", "s").alias("component")), "members")
 
     links = linked(first_pairs(members, percent))
-    links = links.union(linked(pairs_with_biggest(placed(links), sets, percent)))
-    dealt = cells(placed(links), sets, threshold, depth, leaf)
+    known = placed(links)
+    links = links.union(linked(pairs_with_biggest(known, sets, percent)))
+    unstage(known)
+    known = placed(links)
+    unstage(members)
+    dealt, parts = cells(known, sets, threshold, depth, leaf)
     open_ = stage(sketched_cells(dealt, sets, percent, least), "open-cells")
-    more = linked_cells(open_, full_sets(open_.select("s"), documents, sets, shingle), percent)
-    return connected(links.union(more)).select(F.col("node").alias("s"), "root")
+    unstage(*parts)
+    full = full_sets(open_.select("s"), documents, sets, shingle)
+    more = linked_cells(open_, full, percent)
+    reached = connected(links.union(more)).select(F.col("node").alias("s"), "root")
+    unstage(open_, full)
+    return reached
 
 
 def near_duplicates(
@@ -560,14 +577,15 @@ def near_duplicates(
     roots = root_functions(threshold, trees_for(threshold, recall, depth))
     printed = stage(prints(documents, shingle, roots), "prints")
     sets = stage(distinct_sets(printed), "sets")
+    rows = stage(printed.select("doc_id", "n_shingles", "k1", "k2"), "rows")
+    unstage(printed)
     linked = sets.join(components(documents, sets, shingle, threshold, depth, leaf), "s", "left")
     linked = linked.select("k1", "k2", "first", F.coalesce("root", "s").alias("root"))
     smallest = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     named = linked.join(smallest, "root").select("k1", "k2", "component_id")
     id_ = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (
-        printed.select("doc_id", "n_shingles", "k1", "k2")
-        .join(named, ["k1", "k2"], "left")
+        rows.join(named, ["k1", "k2"], "left")
         .select("doc_id", "n_shingles", id_.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )

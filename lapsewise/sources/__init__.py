@@ -10,6 +10,7 @@ from lapsewise.sources.tables import (
     replace_view,
     scratch_path,
     stage,
+    unstage,
     write_splits,
     write_sidecar,
 )
@@ -42,6 +43,7 @@ __all__ = [
     "sample_customers",
     "scratch_path",
     "stage",
+    "unstage",
     "write_sidecar",
     "write_splits",
 ]

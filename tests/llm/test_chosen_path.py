@@ -1,5 +1,6 @@
 import random
 import re
+from pathlib import Path
 
 import corpus
 import numpy as np
@@ -8,6 +9,7 @@ from local import frame
 from pyspark.sql import functions as F
 
 from lapsewise.llm import chosen_path
+from lapsewise.sources import scratch_path
 
 
 def plain_set(text, size=3):
@@ -183,3 +185,12 @@ def test_what_cells_hand_on_grows_with_their_members(spark):
     assert held.count() == 300  # the two cells are the same
     full = sets.select("s", F.unhex(F.lpad(F.hex("s"), 16, "0")).alias("tokens"))
     assert chosen_path.linked_cells(held, full, 85).count() == 0
+
+
+def test_staged_copies_go_once_nothing_reads_them(spark):
+    folder = Path(scratch_path(spark, "any").removeprefix("file:")).parent
+    before = set(folder.iterdir())
+    check(corpus.awkward(spark))
+    left = {p.name.rpartition("-")[0] for p in set(folder.iterdir()) - before}
+    large = {"prints", "first-nodes", "members", "near-pairs", "full-sets", "open-members", "open-cells"}
+    assert "sets" in left and not left & large
