@@ -2,6 +2,7 @@ import random
 
 import pytest
 from local import frame
+from pyspark.sql import functions as F
 
 from lapsewise.plans import models
 from lapsewise.plans.metrics import evaluation_report
@@ -45,6 +46,41 @@ def test_forest(spark, data, forest, tmp_path):
     assert (meta["model_type"], meta["n_estimators"], meta["max_depth"]) == ("random_forest", 10, 4)
 
 
+def handed_to_fit(monkeypatch, train):
+    """The rows that the forest is grown on, by partition."""
+    handed, fit = [], models._fit
+    monkeypatch.setattr(models, "_fit", lambda e, rows, *names: handed.append(rows) or fit(e, rows, *names))
+    model = models.fit_random_forest(train, FEATURES, "label", n_estimators=3, max_depth=3)
+    monkeypatch.setattr(models, "_fit", fit)
+    parts = {}
+    for p, *row in handed[0].select(F.spark_partition_id(), *FEATURES, "label").collect():
+        parts.setdefault(p, []).append(tuple(row))
+    return model, [parts[p] for p in sorted(parts)]
+
+
+def test_forest_rows_are_dealt_evenly(spark, data, monkeypatch):
+    monkeypatch.setattr(models, "TASK_ROWS", 50, raising=False)
+    coarse = data.withColumn("y", F.round("y", 1))  # fewer values than x, so it leads the order
+    model, parts = handed_to_fit(monkeypatch, coarse.coalesce(1))
+    assert [len(p) for p in parts] == [50] * 8
+    assert all(p == sorted(p, key=lambda r: (r[1], r[0], r[2])) for p in parts)
+    want = models.model_input(coarse, FEATURES, "label").select(*FEATURES, "label").collect()
+    assert sorted(r for p in parts for r in p) == sorted(map(tuple, want))
+    again, _ = handed_to_fit(monkeypatch, coarse.coalesce(1))
+    assert probabilities(coarse, again) == probabilities(coarse, model)
+
+
+def test_forest_rows_in_even_tasks_stay_as_they_are(spark, data, monkeypatch):
+    _, (rows,) = handed_to_fit(monkeypatch, data.coalesce(1))
+    assert rows == [tuple(r) for r in models.model_input(data.coalesce(1), FEATURES, "label").collect()]
+    monkeypatch.setattr(models, "TASK_ROWS", 100)
+    even = data.repartitionByRange(5, "customer_id").sortWithinPartitions("customer_id")
+    _, parts = handed_to_fit(monkeypatch, even)
+    assert len(parts) == 5
+    kept = models.model_input(even, FEATURES, "label").collect()
+    assert [r for p in parts for r in p] == [tuple(r) for r in kept]
+
+
 def test_logistic_regression(spark, data):
     model = models.fit_logistic_regression(data, FEATURES, "label")
     report = evaluation_report(models.score(data, model, FEATURES), "churn_probability", "label", "train")
